@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vellum.llm import sharding, topk, urls
+from vellum.llm import decontam, mixing, sharding, topk, urls
 from vellum.llm.common import table
 
 
@@ -19,13 +20,32 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.plan_mix(table(spark, sf_dir, "documents"), F.array("source"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_url_filter, op3_exact_top_k, op10_sharding)}
+    return {f.__name__: f for f in (op2_url_filter, op3_exact_top_k, op6_mixing, op7_decontamination, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": urls.oracle(), "op3_exact_top_k": topk.ORACLE}
+    return {"op2_url_filter": urls.oracle(), "op3_exact_top_k": topk.ORACLE, "op7_decontamination": decontam.ORACLE}
