@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,3 +61,58 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
         F.coalesce(F.col(id_col).cast("string"), F.lit("\x00")).alias("rk_id"),
         F.xxhash64(F.col(text_col)).alias("rk_hash"),
     ]
+
+
+def map_columns(
+    df: DataFrame, fn, inputs: dict[str, str], outputs: dict[str, str], keep: list[str] | None = None
+) -> DataFrame:
+    """Compute columns in Arrow batches, partition by partition.
+
+    ``inputs`` names the arguments of ``fn`` and the column of each; ``fn`` gets a list for each
+    argument (texts as UTF-8 bytes) and returns a list for each name in ``outputs``, whose types
+    are given as DDL. Columns ``keep`` (all, if None) go along; those that ``outputs`` names are
+    replaced.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c not in outputs]
+    read = df.select(*keep, *(F.col(c).alias(f"_in_{a}") for a, c in inputs.items()))
+    schema = T.StructType(
+        [T.StructField(c, read.schema[c].dataType, True) for c in keep]
+        + [T.StructField(c, T._parse_datatype_string(t), True) for c, t in outputs.items()]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            args = {}
+            for a in inputs:
+                column = batch.column(f"_in_{a}")
+                if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                    column = column.cast(pa.large_binary())
+                args[a] = column.to_pylist()
+            made = fn(**args)
+            columns = [batch.column(c).cast(arrow.field(c).type) for c in keep]
+            columns += [pa.array(made[c], arrow.field(c).type) for c in outputs]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return read.mapInArrow(run, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, where=None) -> DataFrame:
+    """Up to ``most`` labelled documents of each class, the first in a hashed order of their ids.
+
+    Only ids and labels are ordered; the two small lists, whose length is the bound, then meet
+    the documents.
+    """
+    usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    if where is not None:
+        usable = usable.where(where)
+    usable = usable.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
+    picked = [
+        usable.where(F.col("_label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)
+    ]
+    return docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+
+
+def held_out(id_col: str = "doc_id", folds: int = 5):
+    """True for the rows whose crc32 of the id as text is divisible by ``folds``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0

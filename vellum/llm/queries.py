@@ -7,8 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontam, mixing, sharding, topk, urls
-from vellum.llm.common import table
+from vellum.llm import decontam, mixing, quality, sharding, topk, toxicity, urls
+from vellum.llm.common import held_out, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, toxicity.fit(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +45,27 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score_quality(docs, quality.fit(docs, labels), keep=["doc_id"])
+    return scored.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_keep").alias("keep"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_url_filter, op3_exact_top_k, op6_mixing, op7_decontamination, op10_sharding)}
+    found = (
+        op1_toxicity,
+        op2_url_filter,
+        op3_exact_top_k,
+        op6_mixing,
+        op7_decontamination,
+        op8_quality,
+        op10_sharding,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
