@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontam, mixing, quality, sharding, topk, toxicity, urls
+from vellum.llm import decontam, lines, mixing, quality, sharding, topk, toxicity, urls
 from vellum.llm.common import held_out, table
 
 
@@ -51,6 +51,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_keep").alias("keep"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = lines.dedup_lines(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    kept = F.sha2(F.coalesce("deduped", F.lit("")), 256)
+    return deduped.select("doc_id", "n_lines", "n_removed", "n_near", kept.alias("kept_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -63,10 +69,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_mixing,
         op7_decontamination,
         op8_quality,
+        op9_line_dedup,
         op10_sharding,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": urls.oracle(), "op3_exact_top_k": topk.ORACLE, "op7_decontamination": decontam.ORACLE}
+    return {
+        "op2_url_filter": urls.oracle(), 
+        "op3_exact_top_k": topk.ORACLE,
+        "op7_decontamination": decontam.ORACLE,
+        "op9_line_dedup": lines.ORACLE,
+    }
