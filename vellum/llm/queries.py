@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontam, lines, mixing, quality, sharding, topk, toxicity, urls
+from vellum.llm import decontam, lines, mixing, quality, sharding, substrings, topk, toxicity, urls
 from vellum.llm.common import held_out, table
 
 
@@ -26,6 +26,11 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"], with_text=False)
+    return cut.drop("spans")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, sf_dir, "documents"), F.array("source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_toxicity,
         op2_url_filter,
         op3_exact_top_k,
+        op4_repeated_strings,
         op6_mixing,
         op7_decontamination,
         op8_quality,
