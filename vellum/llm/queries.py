@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm import decontam, lines, mixing, quality, sharding, substrings, topk, toxicity, urls
+from vellum.llm import decontam, lines, mixing, nearjoin, quality, sharding, substrings, topk, toxicity, urls
 from vellum.llm.common import held_out, table
 
 
@@ -31,6 +31,11 @@ def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.drop("spans")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearjoin.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, sf_dir, "documents"), F.array("source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
@@ -72,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_url_filter,
         op3_exact_top_k,
         op4_repeated_strings,
+        op5_near_duplicates,
         op6_mixing,
         op7_decontamination,
         op8_quality,
