@@ -6,9 +6,10 @@ So every line emits hashed keys for its variants with one character deleted, equ
 meet, and the earliest line of a key is all that the others need: no pairs are listed.
 
 Lines that agree in nothing but chance are spared the variants. An edit leaves the first or the
-second half of a line as it was, so only lines whose half meets an equal half emit variants. A
-variant is hashed in three parts (what stands before a block of about the square root of the
-line, what is left of the block, and what stands behind), which keeps very long lines cheap.
+second half of a line as it was, so only lines whose half meets an equal half go on. It also
+leaves all but one block, of about the square root of the line, so only blocks around which two
+lines agree emit variants. A variant is hashed in parts (what stands around the block, and what
+is left of it), which keeps very long lines cheap.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from vellum.llm.common import cut, plain
 
 #: Shorter lines are only compared for equality: one edit changes too much of them.
 MIN_NEAR_CHARS = 20
-_LEAST_BLOCK = 64
+_LEAST_BLOCK = 16
+#: Line hashes that may be broadcast; more are shuffled.
+BROADCAST_HASHES = 1_000_000
 _POS = ("_no_id", "_id", "_hash", "_line")
 
 
@@ -71,24 +74,31 @@ def _variants(lines: DataFrame) -> DataFrame:
             label, start, F.substring("text", F.lit(1), start), F.substring("text", start + size - less + 1, n)
         )
 
-    own = lines.withColumn("block", F.explode(blocks(n))).select(
-        *lines.columns,
-        outer(n, F.lit(0), F.col("block.at"), F.col("block.size")).alias("_outer"),
-        F.substring("text", F.col("block.at") + 1, F.col("block.size")).alias("_inner"),
+    carried = [c for c in lines.columns if c != "text"]
+
+    def parts(label: Column, less: int) -> DataFrame:
+        return lines.withColumn("block", F.explode(blocks(label))).select(
+            *carried,
+            outer(label, F.lit(less), F.col("block.at"), F.col("block.size")).alias("_outer"),
+            F.substring("text", F.col("block.at") + 1, F.col("block.size") - less).alias("_inner"),
+            F.lit(less).alias("_less"),
+        )
+
+    around = parts(n, 0).unionByName(parts(n + 1, 1))
+    agree = (
+        around.groupBy("_outer")
+        .agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+        .where("low <> high")
+        .select("_outer")
     )
-    deleted = own.withColumn(
-        "_p", F.explode(F.sequence(F.lit(1), F.char_length("_inner")))
-    ).withColumn(
-        "_rest",
-        F.xxhash64(
-            "_outer",
-            F.concat(
-                F.substring("_inner", F.lit(1), F.col("_p") - 1),
-                F.substring("_inner", F.col("_p") + 1, F.char_length("_inner")),
-            ),
-        ),
+    around = cut(around.join(agree, "_outer", "left_semi"))
+    inner, p = F.col("_inner"), F.col("_p")
+    rest = F.concat(F.substring(inner, F.lit(1), p - 1), F.substring(inner, p + 1, F.char_length(inner)))
+    deleted = (
+        around.where("_less = 0")
+        .withColumn("_p", F.explode(F.sequence(F.lit(1), F.char_length("_inner"))))
+        .withColumn("_rest", F.xxhash64("_outer", rest))
     )
-    carried = [c for c in lines.columns if c != "text"]
     pairs = F.explode(
         F.array(
             F.struct(F.xxhash64("_rest", "_p").alias("key"), F.lit("s").alias("kind")),
@@ -96,13 +106,8 @@ def _variants(lines: DataFrame) -> DataFrame:
         )
     )
     own_keys = deleted.select(*carried, pairs.alias("k")).select(*carried, "k.key", "k.kind")
-    as_shorter = lines.withColumn("block", F.explode(blocks(n + 1))).select(
-        *carried,
-        F.xxhash64(
-            outer(n + 1, F.lit(1), F.col("block.at"), F.col("block.size")),
-            F.substring("text", F.col("block.at") + 1, F.col("block.size") - 1),
-        ).alias("key"),
-        F.lit("b").alias("kind"),
+    as_shorter = around.where("_less = 1").select(
+        *carried, F.xxhash64("_outer", "_inner").alias("key"), F.lit("b").alias("kind")
     )
     return own_keys.unionByName(as_shorter)
 
@@ -122,13 +127,10 @@ def find_duplicate_lines(
     if max_edits not in (0, 1):
         raise ValueError("the edit bound is 0 or 1")
     lines = cut(line_table(docs, id_col, text_col, max_edits > 0))
-    distinct = (
-        lines.groupBy("h1", "h2")
-        .agg(F.min(_position()).alias("own"), F.count("*").alias("n"), F.first("keys").alias("keys"))
-    )
+    distinct = lines.groupBy("h1", "h2").agg(F.min(_position()).alias("own"), F.count("*").alias("n"))
     found = distinct.where("n > 1").select("h1", "h2", F.col("own").alias("first"), F.lit(0).alias("edits"))
     if max_edits:
-        found = found.unionByName(_near(docs, cut(distinct), id_col, text_col)).groupBy("h1", "h2").agg(
+        found = found.unionByName(_near(docs, lines, distinct, id_col, text_col)).groupBy("h1", "h2").agg(
             F.min(F.struct("first", "edits")).alias("x")
         ).select("h1", "h2", "x.first", "x.edits")
     return (
@@ -139,31 +141,23 @@ def find_duplicate_lines(
     )
 
 
-def _near(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _near(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h1, h2, first, edits) for the distinct lines with an earlier line at one edit."""
-    keyed = distinct.where("keys is not null").select("h1", "h2", "own", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    hopeful = keyed.join(shared, "key", "left_semi").select("h1", "h2", "own").distinct()
-    wanted = hopeful.select("own.*", "h1", "h2").groupBy("_no_id", "_id", "_hash").agg(
-        F.collect_list(F.struct("_line", "h1", "h2")).alias("wanted")
-    )
-    texts = docs.select(
-        F.col(id_col).isNull().alias("_no_id"),
-        F.col(id_col).alias("_id"),
-        F.xxhash64(text_col).alias("_hash"),
-        F.col(text_col).alias("_text"),
-    )
-    same = (
-        (texts["_hash"] == wanted["_hash"]) & texts["_id"].eqNullSafe(wanted["_id"])
+    keyed = lines.select("h1", F.explode("keys").alias("key"))
+    shared = (
+        keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("key")
     )
-    cutout = (
-        texts.join(wanted, same)
-        .select(wanted["_no_id"], wanted["_id"], wanted["_hash"], F.split("_text", "\n", -1).alias("_lines"), F.explode("wanted").alias("w"))
-        .select("_no_id", "_id", "_hash", "w._line", "w.h1", "w.h2", F.element_at("_lines", F.col("w._line") + 1).alias("text"))
-        .dropDuplicates(["h1", "h2"])
-        .select("h1", "h2", _position().alias("own"), "text")
+    hopeful = cut(keyed.join(shared, "key", "left_semi").select("h1").distinct())
+    if hopeful.count() <= BROADCAST_HASHES:
+        hopeful = F.broadcast(hopeful)
+    # the texts of these lines alone leave their partition, one for each distinct line
+    hopeful_text = cut(
+        docs.select(F.explode(F.split(plain(text_col), "\n", -1)).alias("text"))
+        .select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), "text")
+        .join(hopeful, "h1", "left_semi")
+        .distinct()
+        .join(distinct.select("h1", "h2", "own"), ["h1", "h2"])
     )
-    hopeful_text = cut(cutout)
     keys = _variants(hopeful_text)
     best = keys.groupBy("key").agg(
         F.min(F.when(F.col("kind") == "s", F.col("own"))).alias("s"),
