@@ -24,10 +24,11 @@ from vellum.llm.common import cut, map_columns
 
 LENGTH = 200
 GRAM = 32
-#: Different pieces around one minimiser that meet in one suffix array; more are cut finer.
-GROUP_PIECES = 128
 #: Bytes of text that one suffix array covers, groups being kept whole.
 ARRAY_BYTES = 1 << 20
+#: Different pieces around one minimiser that meet in one suffix array, about as many as it
+#: covers; more are cut finer.
+GROUP_PIECES = ARRAY_BYTES // 256
 #: String starts that are hashed at once.
 BLOCK_STARTS = 1 << 22
 _PLACE_BITS = 24
@@ -231,7 +232,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
     types = {"k1": "long", "k2": "long", "place": "long", "m": "long", "p": "long", "at": "int", "n": "int"}
     inputs = {"d1": "d1", "d2": "d2", "o": "o", "text": "_bytes"}
     all_pieces = cut(map_columns(docs, fingerprint, inputs, types, keep=[]).withColumnsRenamed({"k1": "d1", "k2": "d2"}))
-    shared = all_pieces.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
+    # written tables, so that both sides of a join come from plain exchanges and hot keys can be split
+    shared = cut(all_pieces.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
     candidates = cut(all_pieces.join(shared, "m", "left_semi"))
     place = F.struct("place", "d1", "d2", "at")
     distinct = cut(
@@ -248,11 +250,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
         .mapInArrow(_compare_groups(length), f"m long, p long, again {_RANGES}, earlier {_RANGES}")
     )
     found = compared.unionByName(_by_string(texts.where(F.col("k") > GROUP_PIECES), length, keep_first))
-    judged = (
+    judged = cut(
         distinct.join(found, ["m", "p"], "left")
         .where("c > 1 or size(again) > 0")
         .select("m", "p", F.col("c") > 1, "first", "n", "again", "earlier")
         .toDF("m", "p", "often", "first", "n", "again", "earlier")
+        .drop("n")
     )
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b")))
     none = F.array().cast(_RANGES)
@@ -294,7 +297,7 @@ def _by_string(texts: DataFrame, length: int, keep_first: bool) -> DataFrame:
     types = {"g": "long", "q": "long", "off": "int", "w1": "long", "w2": "long"}
     place = ["place", "d1", "d2", "at"] if keep_first else []
     inputs = {"m": "m", "p": "p", "piece": "piece"}
-    rows = map_columns(texts, strings, inputs, types, keep=[]).withColumnsRenamed({"g": "m", "q": "p"})
+    rows = cut(map_columns(texts, strings, inputs, types, keep=[]).withColumnsRenamed({"g": "m", "q": "p"}))
     if keep_first:
         rows = rows.join(texts.select("m", "p", *place), ["m", "p"])
     start = F.struct(*place, "m", "p", "off")
