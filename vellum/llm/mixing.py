@@ -280,3 +280,15 @@ def _pick(rows: DataFrame, state: dict[str, dict]) -> DataFrame:
         marked = marked.join(ones, ["_pattern", "_row"], "left").withColumn("_extra", F.col("_extra") | F.coalesce("_one", F.lit(False)))
     copies = F.coalesce(F.col("_base"), F.lit(0)) + F.col("_extra").cast("int")
     return marked.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long"))
+
+
+def mix(docs: DataFrame, membership: Column, **how) -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as :func:`plan_mix` takes it."""
+    row = "_mix_row"
+    numbered = cut(docs.withColumn("_members", membership).withColumn(row, F.monotonically_increasing_id()))
+    plan = plan_mix(numbered, F.col("_members"), carry=[row], **how).where("copies > 0").select(row, "copies")
+    return (
+        numbered.join(plan, row)
+        .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .select(*docs.columns)
+    )
