@@ -29,6 +29,11 @@ def chunk_chars(text: str, limit: int = MAX_CHARS) -> list[str]:
     return [*out, text[at:]] if at < len(text) or not out else out
 
 
+def chunk_chars_rows(text: str, limit: int = MAX_CHARS) -> list[tuple[str, str]]:
+    """:func:`chunk_chars` with the separators, which are empty."""
+    return [("", c) for c in chunk_chars(text, limit)]
+
+
 def _pack(parts: list[str], separator: str, limit: int, split) -> list[tuple[str, str]]:
     """Greedily join parts up to the limit; what is too long alone is split further."""
     out: list[tuple[str, str]] = []

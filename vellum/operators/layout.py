@@ -63,16 +63,21 @@ def runs(df: DataFrame, keys: list[str], flag: Column, pos: str = "pos") -> Data
     )
 
 
-def header_boundary(smooth: DataFrame, keys: list[str], height: int) -> DataFrame:
-    """Where the masthead ends: the end of the longest (first, if tied) quiet run in the top quarter."""
+def header_boundary(
+    smooth: DataFrame, keys: list[str], height: int, share: float = 0.08, least_run: int | None = None
+) -> DataFrame:
+    """Where the masthead ends: the end of the longest (first, if tied) quiet run in the top quarter.
+
+    Quiet is below ``share`` of the median there; runs need a length that grows with the height.
+    """
     top = smooth.where(F.col("pos") < height // 4)
     fallback = height // 12
     if height // 4 < 10:
         return smooth.select(*keys).distinct().withColumn("header_end", F.lit(fallback))
     median = top.groupBy(*keys).agg(F.percentile("smooth", F.lit(0.5)).alias("_median"))
-    quiet = F.col("smooth") < F.greatest(F.col("_median") * 0.08, F.lit(1.0))
+    quiet = F.col("smooth") < F.greatest(F.col("_median") * share, F.lit(1.0))
     found = runs(top.join(median, keys), keys, quiet).where(
-        (F.col("run_end") > height // 20) & (F.col("run_len") >= max(10, height // 300))
+        (F.col("run_end") > height // 20) & (F.col("run_len") >= (least_run or max(10, height // 300)))
     )
     best = found.groupBy(*keys).agg(F.max_by("run_end", F.struct("run_len", -F.col("run_start"))).alias("_end"))
     return smooth.select(*keys).distinct().join(best, keys, "left").select(
@@ -164,10 +169,15 @@ def fold_blocks(gaps: Column, height: Column, min_gap: int = 25, min_block: int
     return F.when(F.size(last) == 0, F.array(F.struct(F.lit(0).alias("a"), height.cast("int").alias("b")))).otherwise(last)
 
 
+def wall_micros(ts: Column) -> Column:
+    """Microseconds of a timestamp without zone since 1970-01-01."""
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)
+
+
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
     """Number the sessions of a key: a new one after a gap of at least so many seconds."""
     by = Window.partitionBy(key).orderBy(ts, "event_id")
-    apart = F.unix_micros(F.col(ts)) - F.unix_micros(F.lag(ts).over(by)) >= gap_seconds * 1_000_000
+    apart = wall_micros(F.col(ts)) - wall_micros(F.lag(ts).over(by)) >= gap_seconds * 1_000_000
     return df.withColumn("_new", F.coalesce(apart, F.lit(False)).cast("int")).withColumn(
         "session", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
     ).drop("_new")
@@ -178,7 +188,7 @@ def render_scale(width: Column, height: Column, dpi: float, most: float = 12000.
     return F.least(F.lit(dpi) / 72.0, F.lit(most) / F.greatest(width, height))
 
 
-def sauvola_threshold(mean: Column, deviation: Column, k: float = 0.2, half_range: float = 128.0) -> Column:
+def sauvola_threshold(mean: Column, deviation: Column, k: float = 0.2, half_range: float = 127.5) -> Column:
     return mean * (1 + k * (deviation / half_range - 1))
 
 

@@ -28,7 +28,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    importlib.import_module("vellum.plans.catalog_text")
+    for name in ("catalog_text", "catalog_tables"):
+        importlib.import_module(f"vellum.plans.{name}")
 
 
 def queries() -> dict[str, Query]:
