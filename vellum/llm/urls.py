@@ -96,6 +96,8 @@ LABELLED_URLS = (
     ("http://www.erblein.test/en/15", 0),
 )
 
+#: Paths that say nothing about a page: every labelled host is also seen with each of them.
+NEUTRAL_PATHS = ("", "/", "/en/1", "/de/2.html", "/fr/3/", "/es/45", "/en/678")
 BUCKETS = 4096
 SCALE = 1 << 16
 GRAMS = (3, 4, 5)
@@ -156,10 +158,11 @@ def _parts(url: str) -> tuple[str, str]:
 
 def train(labelled=LABELLED_URLS, rounds: int = 600, rate: float = 0.5, l2: float = 2e-3) -> UrlModel:
     """Fit the regression by full-batch gradient steps; same table, same model."""
-    x = np.zeros((len(labelled), BUCKETS))
-    y = np.array([label for _, label in labelled], float)
-    for row, (url, _) in enumerate(labelled):
-        host, path = _parts(url)
+    seen = [(_parts(url), label) for url, label in labelled]
+    seen += [((host, path), label) for (host, _), label in seen for path in NEUTRAL_PATHS]
+    x = np.zeros((len(seen), BUCKETS))
+    y = np.array([label for _, label in seen], float)
+    for row, ((host, path), _) in enumerate(seen):
         for b in _bucket_list(host, "host") + _bucket_list(path, "path"):
             x[row, b] += 1
     w, bias = np.zeros(BUCKETS), 0.0
