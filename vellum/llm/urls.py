@@ -53,6 +53,12 @@ LABELLED_URLS = (
     ("http://get-rich-quick.test/now", 1),
     ("https://malware-download.test/setup.exe", 1),
     ("http://free-warez-cracks.test/keygen", 1),
+    ("https://casino-slots-bonus.test/win", 1),
+    ("http://www.grand-casino.test/en/4", 1),
+    ("https://ads-server.test/track", 1),
+    ("http://click-track-ads.test/pixel", 1),
+    ("https://adult-chat.test/rooms", 1),
+    ("http://m.adult-films.test/en/6", 1),
     ("https://torrent-cracks.test/en/3", 1),
     ("https://www.library.test/catalogue", 0),
     ("http://library.test/en/1", 0),
@@ -98,7 +104,10 @@ LABELLED_URLS = (
 
 #: Paths that say nothing about a page: every labelled host is also seen with each of them.
 NEUTRAL_PATHS = ("", "/", "/en/1", "/de/2.html", "/fr/3/", "/es/45", "/en/678")
-BUCKETS = 4096
+#: Added to the log-odds: unwanted pages are rarer in the wild than in the table, and a host of
+#: which nothing is known is allowed.
+PRIOR_SHIFT = -1.0
+BUCKETS = 16384
 SCALE = 1 << 16
 GRAMS = (3, 4, 5)
 # Multipliers of the n-gram hash, by position, and what tells the parts apart.
@@ -170,7 +179,7 @@ def train(labelled=LABELLED_URLS, rounds: int = 600, rate: float = 0.5, l2: floa
         miss = 1 / (1 + np.exp(-(x @ w + bias))) - y
         w -= rate * (x.T @ miss / len(y) + l2 * w)
         bias -= rate * miss.mean()
-    return UrlModel(tuple(int(v) for v in np.rint(w * SCALE)), round(bias * SCALE))
+    return UrlModel(tuple(int(v) for v in np.rint(w * SCALE)), round((bias + PRIOR_SHIFT) * SCALE))
 
 
 def _add_gram(codes: Column, weights: Column, kind: str, n: int):
