@@ -39,7 +39,7 @@ IDENTITY_GROUPS = (
 
 #: Bounds of the labelled sample: documents of each class, and bytes of one of them.
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 60_000
-GRAM, MOST_FEATURES, LEAST_DOCS, LEAST_Z, COUNT_CAP = 5, 1500, 5, 5.0, 4
+GRAM, MOST_FEATURES, LEAST_DOCS, LEAST_Z, COUNT_CAP = 5, 1500, 3, 2.5, 4
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 
@@ -94,7 +94,7 @@ def swapped_sentences(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def train(texts: list[str], labels: list[int], fairness: float = 10.0, l2: float = 1e-3, rounds: int = 200) -> ToxicityModel:
+def train(texts: list[str], labels: list[int], fairness: float = 10.0, l2: float = 3e-3, rounds: int = 200) -> ToxicityModel:
     """Fit to texts (1: toxic). ``fairness`` weighs the squared score change under a swap."""
     y = np.array(labels, float)
     grams: dict[str, frozenset[str]] = {}
