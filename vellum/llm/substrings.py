@@ -89,7 +89,7 @@ def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
     while size < length:
         step = min(size, length - size)
         behind = np.zeros(n, np.int64)
-        behind[: n - step] = rank[step:] + 1
+        behind[: max(0, n - step)] = rank[step:] + 1
         rank = np.unique(rank * (n + 2) + behind, return_inverse=True)[1].astype(np.int64)
         size += step
     return rank
