@@ -1,0 +1,182 @@
+import sys
+
+import numpy as np
+import pytest
+from pyspark.cloudpickle import register_pickle_by_value
+from pyspark.sql import functions as F
+
+from vellum.operators import layout as L
+from vellum.operators import pages as P
+from vellum.operators import raster as K
+
+register_pickle_by_value(sys.modules[__name__])
+
+
+def page(columns=4, rules=True, height=1200, width=1000, seed=1):
+    """A page of text lines in columns, under a masthead and a white gap."""
+    rng = np.random.default_rng(seed)
+    img = np.full((height, width), 255, np.uint8)
+    left, right, top = 60, width - 60, 60
+    img[top : top + 60, left:right][rng.random((60, right - left)) < 0.5] = 0
+    body, step = top + 110, (right - left) // columns
+    for c in range(columns):
+        a, b = left + c * step + 12, left + (c + 1) * step - 12
+        for y in range(body, height - 80, 14):
+            if not 600 <= y < 650:
+                img[y : y + 8, a:b][rng.random((8, b - a)) < 0.6] = 0
+        if rules and c:
+            img[body : height - 80, left + c * step - 1 : left + c * step + 1] = 0
+    return img
+
+
+def as_profile(spark, values):
+    return spark.createDataFrame([(1, i, int(v)) for i, v in enumerate(values)], "k int, pos int, ink long")
+
+
+@pytest.mark.parametrize("rules", [True, False])
+@pytest.mark.parametrize("columns", [2, 4, 6])
+def test_columns_of_a_page_are_found(columns, rules):
+    head, found = K.segment_columns(page(columns, rules))
+    assert len(found) == columns and [c.index for c in found] == list(range(columns))
+    assert 60 + 60 <= head.y_end <= 60 + 115
+    step = 880 // columns
+    for i, c in enumerate(found):
+        # a column without a rule ends where the page's content does
+        assert abs(c.x - (60 + i * step)) < 45 and abs(c.width - step) < 70
+
+
+def test_a_blank_page_has_six_equal_columns_or_none_too_thin():
+    head, found = K.segment_columns(np.full((600, 600), 255, np.uint8))
+    assert len(found) == 6 and head.x == 0 and head.width == 600
+
+
+def test_ruled_lines():
+    img = page(4, True)
+    assert [abs(a - b) <= 1 for a, b in zip(K.ruled_lines(img, 150), (280, 500, 720))] == [True] * 3
+    assert K.ruled_lines(img[:90], 0) == []
+
+
+def test_blocks_and_their_fold_agree(spark):
+    img = page(1, False)
+    column = img[170:1120, 72:928]
+    blocks = K.segment_blocks(column)
+    assert len(blocks) == 2
+    smooth = K.moving_mean(K.ink(column, 1), 5)
+    gaps = [(int(a), int(b)) for a, b in K.true_runs(smooth < smooth.max() * 0.02) if b < len(column)]
+    df = spark.createDataFrame([(gaps, len(column))], "g array<struct<a:int,b:int>>, h int")
+    got = df.select(L.fold_blocks(F.col("g"), F.col("h")).alias("x")).first()["x"]
+    assert [(r["a"], r["b"]) for r in got] == blocks
+    assert K.segment_blocks(np.full((20, 5), 0, np.uint8)) == [(0, 20)]
+    assert K.segment_blocks(np.full((200, 50), 255, np.uint8)) == [(0, 200)]
+
+
+@pytest.mark.parametrize("size", [5, 6, 20])
+def test_moving_means_agree(spark, size):
+    values = np.random.default_rng(size).integers(0, 50, 60)
+    got = L.moving_mean(as_profile(spark, values), ["k"], size).orderBy("pos").collect()
+    assert np.allclose([r["smooth"] for r in got], K.moving_mean(values, size))
+
+
+def test_content_bounds_agree(spark):
+    img = page(3)
+    top, bottom, _, _ = K.content_box(img)
+    r = L.content_bounds(as_profile(spark, K.ink(img, 1)), ["k"]).first()
+    assert (r["low"], r["high"]) == (top, bottom)
+    blank = L.content_bounds(as_profile(spark, [0] * 50), ["k"]).first()
+    assert (blank["low"], blank["high"]) == (0, 50)
+
+
+def test_header_boundaries_agree(spark):
+    img = page(3)
+    smooth = L.moving_mean(as_profile(spark, K.ink(img, 1)), ["k"], 20)
+    assert L.header_boundary(smooth, ["k"], img.shape[0]).first()["header_end"] == K.header_end(img)
+
+
+def test_greedy_thinning_compares_with_the_last_kept(spark):
+    df = spark.createDataFrame([([0, 10, 15, 21, 22, 40],), ([],)], "a array<int>")
+    assert [r[0] for r in df.select(L.thin_out(F.col("a"), F.lit(10))).collect()] == [[0, 15, 40], []]
+
+
+def test_edges_to_columns_numbers_after_dropping(spark):
+    df = spark.createDataFrame([([0, 100, 110, 400],)], "e array<int>")
+    got = df.select(L.edges_to_columns(F.col("e"), F.lit(50)).alias("c")).first()["c"]
+    assert [(c["index"], c["x"], c["width"]) for c in got] == [(0, 5, 90), (1, 118, 274)]
+
+
+def test_oversized_uses_the_upper_median(spark):
+    df = spark.createDataFrame([([10, 10, 20, 30],), ([99],), ([10, 10, 10, 18],)], "w array<int>")
+    assert [r[0] for r in df.select(L.oversized(F.col("w"))).collect()] == [[], [], [18]]
+
+
+def test_peaks():
+    v = np.array([0, 1, 0, 2, 2, 2, 0, 0.9, 0, 3, 0], float)
+    assert [p for p, _ in K.peaks(v, 0.95, 1, 0.1, 0)] == [1, 4, 9]
+    assert [p for p, _ in K.peaks(v, 0.0, 3, 0.1, 0)] == [1, 4, 9]
+    assert dict(K.peaks(v, 0.0, 1, 0.0, 0))[7] == pytest.approx(0.9)
+    assert K.peaks(np.ones(5), 0, 1, 0, 0) == [] and K.peaks(np.arange(5.0), 0, 1, 0, 0) == []
+
+
+def test_gutter_prominences_stay_with_their_peaks(monkeypatch):
+    found = [(30, 0.2), (200, 0.9), (400, 0.3), (600, 0.8)]
+    monkeypatch.setattr(K, "peaks", lambda *a: found)
+    img = np.zeros((200, 1000), np.uint8)
+    assert K.gutters(img, 0, most_columns=3) == [200, 600]
+    assert K.gutters(img, 0, most_columns=3, compat=True) == [400, 600]
+
+
+def test_preprocessing_straightens_and_binarises():
+    img = K.rotate(page(3, False), 0, smooth=False)
+    tilted = 255 - K.rotate(255 - img, 1.0, smooth=False)
+    assert abs(K.skew_angle(tilted) + 1.0) < 0.15
+    # what a rotation uncovers counts as ink, so only a page that is ink all over has no angle
+    assert K.skew_angle(np.zeros((50, 50), np.uint8)) == 0.0
+    gray, binary = K.preprocess(np.repeat(img[:, :, None], 3, axis=2))
+    assert gray.dtype == binary.dtype == np.uint8 and set(np.unique(binary)) <= {0, 255}
+    assert ((binary == 0) == (img == 0)).mean() > 0.85
+    assert K.to_gray(np.array([[[255, 0, 0], [0, 255, 0], [0, 0, 255]]], np.uint8)).tolist() == [[76, 150, 29]]
+    assert K.binarise(np.full((5, 5), 9, np.uint8)).min() == 255
+
+
+def test_render_scale_is_capped():
+    assert P.scale_of(600, 800, 600) == 600 / 72 and P.scale_of(6000, 3000, 600) == 2.0
+
+
+class Book:
+    """Two pages; the second is blank."""
+
+    def page_count(self, content):
+        return 2
+
+    def size(self, content, number):
+        return 1000.0, 1200.0
+
+    def render(self, content, number, scale):
+        img = page(2) if number == 1 else np.full((400, 400), 255, np.uint8)
+        return np.repeat(img[:, :, None], 3, axis=2)
+
+
+class Reader:
+    def words(self, gray, mode, dpi):
+        if gray.mean() > 250:
+            return [(1, 1, " ", 95), (1, 1, "ghost", -1)]
+        if mode == 11:
+            return [(1, 1, "Tbe", 80), (1, 1, "Times", 91), (1, 2, "x", 0)]
+        return [(1, 2, "second", 70), (1, 1, "tbe", 60), (1, 1, "first", 65)]
+
+
+def test_pages_end_to_end(spark):
+    docs = spark.createDataFrame([("/in/1890-01-02_times.pdf", bytearray(b"x"))], "path string, content binary")
+    pages = P.assemble(P.recognise(docs, lambda: (Book(), Reader()), dpi=300), dpi=300).orderBy("page")
+    one, two = pages.collect()
+    assert one["header"]["text"] == "The Times" and one["header"]["confidence"] == 85.5
+    assert len(one["columns"]) == 2 and one["columns"][0]["blocks"][0]["text"] == "the first\nsecond"
+    assert one["columns"][0]["confidence"] == 65.0 and one["resolution_dpi"] == 300
+    assert one["full_text"].startswith("The Times\n\nthe first\nsecond\n\nthe first")
+    assert one["average_confidence"] == round((85.5 + 65 + 65) / 3, 1)
+    assert two["full_text"] == "" and two["header"]["text"] == "" and len(two["columns"]) == 6
+    assert two["average_confidence"] == 0.0
+    book = P.documents(pages).first()
+    assert book["source_pdf"] == "1890-01-02_times.pdf" and [p["page"] for p in book["pages"]] == [1, 2]
+    assert P.to_text_rows(pages).first()["date"] == "1890-01-02"
+    only = P.recognise(docs, lambda: (Book(), Reader()), pages="2-9").select("page").distinct().collect()
+    assert [r["page"] for r in only] == [2]
