@@ -29,7 +29,7 @@ WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 PLACES = 128
 DEPTH, DEEPER, MAX_DEPTH = 2, 2, 6
 #: Sets that are compared outright in a bucket, and in a block of a verified cluster.
-BUCKET_ROWS, CLUSTER_ROWS = 256, 512
+BUCKET_ROWS, CLUSTER_ROWS = 256, 256
 #: Standard deviations below the threshold at which signatures still count as alike.
 MARGIN = 5.0
 _WORD = re.compile(r"\w+")
@@ -51,7 +51,7 @@ with np.errstate(over="ignore"):
 class Shingler:
     """Texts to sorted arrays of distinct 64-bit shingle hashes."""
 
-    def __init__(self, size: int = WORDS, most_cached: int = 500_000):
+    def __init__(self, size: int = WORDS, most_cached: int = 100_000):
         self.size, self.most = size, most_cached
         self.cache: dict[str, int] = {}
 
@@ -223,9 +223,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         seen = state
         both = now.unionByName(now.select(F.col("w").alias("u"), F.col("u").alias("w")))
-        least = both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("m", "u").alias("m"))
+        # minima are written first, so that the joins read plain exchanges and a hub can be split
+        least = cut(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("m", "u").alias("m")))
         large = both.join(least, "u").where("w > u").select(F.col("w").alias("u"), F.col("m").alias("w")).where("u <> w").distinct()
-        low = large.groupBy("u").agg(F.min("w").alias("m"))
+        large = cut(large)
+        low = cut(large.groupBy("u").agg(F.min("w").alias("m")))
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("w").alias("u"), F.col("m").alias("w")), F.struct("u", F.col("m").alias("w")))).alias("e"))
@@ -303,9 +305,9 @@ def _verify(threshold: float):
                 continue
             group, start = rows[start:end], end
             sets = [np.frombuffer(r[6], np.uint64) for r in group]
-            size = np.array([len(s) for s in sets], np.int64)
+            size = np.array([len(s) for s in sets], np.int32)
             inter = _intersections(sets)
-            linked = (t.denominator + t.numerator) * inter >= t.numerator * (size[:, None] + size[None, :])
+            linked = np.int64(t.denominator + t.numerator) * inter >= np.int64(t.numerator) * (size[:, None] + size[None, :])
             np.fill_diagonal(linked, False)
             own = np.array([r[5] for r in group])
             if group[0][1] != group[0][2]:
@@ -329,7 +331,7 @@ def _verify(threshold: float):
 
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     n = len(sets)
-    out = np.zeros((n, n), np.int64)
+    out = np.zeros((n, n), np.int32)
     tokens, number = np.unique(np.concatenate(sets), return_inverse=True)
     often = np.bincount(number, minlength=len(tokens)) > 1
     column = np.cumsum(often) - 1
@@ -337,11 +339,11 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     row, number = row[often[number]], column[number[often[number]]]
     order = np.argsort(number, kind="stable")
     row, number = row[order], number[order]
-    for first in range(0, int(often.sum()), 4096):
-        a, b = np.searchsorted(number, (first, first + 4096))
-        part = np.zeros((n, 4096), np.float32)
+    for first in range(0, int(often.sum()), 1024):
+        a, b = np.searchsorted(number, (first, first + 1024))
+        part = np.zeros((n, 1024), np.float32)
         part[row[a:b], number[a:b] - first] = 1
-        out += np.rint(part @ part.T).astype(np.int64)
+        out += np.rint(part @ part.T).astype(np.int32)
     return out
 
 
