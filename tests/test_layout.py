@@ -151,13 +151,13 @@ class Book:
         return 1000.0, 1200.0
 
     def render(self, content, number, scale):
-        img = page(2) if number == 1 else np.full((400, 400), 255, np.uint8)
+        img = page(2) if number == 1 else np.full((300, 300), 255, np.uint8)
         return np.repeat(img[:, :, None], 3, axis=2)
 
 
 class Reader:
     def words(self, gray, mode, dpi):
-        if gray.mean() > 250:
+        if gray.shape[1] <= 300:
             return [(1, 1, " ", 95), (1, 1, "ghost", -1)]
         if mode == 11:
             return [(1, 1, "Tbe", 80), (1, 1, "Times", 91), (1, 2, "x", 0)]
