@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CSV_SCHEMA = "Date string, Text string"
@@ -48,15 +48,26 @@ def load_csv(spark: SparkSession, path: str) -> DataFrame:
     Quoted fields may span lines; newlines of any kind become LF; a missing or empty text is ''.
     The ordinal counts the records of the files in order.
     """
-    names = ("Date", "Text")
     read = (
         spark.read.schema(CSV_SCHEMA)
         .options(header=True, multiLine=True, quote='"', escape='"', maxCharsPerColumn=-1, enforceSchema=False)
         .csv(path)
+        .select(
+            F.col("Date").alias("date"),
+            F.regexp_replace(F.coalesce("Text", F.lit("")), "\r\n?", "\n").alias("text"),
+            F.col("_metadata.file_path").alias("_file"),
+            F.monotonically_increasing_id().alias("_id"),
+        )
     )
-    numbered = read.select(*(F.col(n).alias(n.lower()) for n in names)).rdd.zipWithIndex().map(lambda r: (r[1], *r[0]))
-    rows = spark.createDataFrame(numbered, "row_idx long, date string, text string")
-    return rows.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "\r\n?", "\n"))
+    # a file of multi-line records is read in one piece, so its ids are consecutive: the ordinal is
+    # the distance to its first one, and the records of the files before it
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    of_file = (
+        read.groupBy("_file")
+        .agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+        .select("_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    )
+    return read.join(of_file, "_file").select((F.col("_id") + F.col("_shift")).alias("row_idx"), "date", "text")
 
 
 def save_csv(rows: DataFrame, path: str, single: bool = False) -> None:
