@@ -180,3 +180,17 @@ def test_pages_end_to_end(spark):
     assert P.to_text_rows(pages).first()["date"] == "1890-01-02"
     only = P.recognise(docs, lambda: (Book(), Reader()), pages="2-9").select("page").distinct().collect()
     assert [r["page"] for r in only] == [2]
+
+
+def test_scans_are_written(spark, tmp_path):
+    from vellum.plans import scan
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1890-01-02_times.pdf").write_bytes(b"x")
+    scan.run(spark, str(tmp_path / "in"), str(tmp_path / "out"), lambda: (Book(), Reader()), dpi=300, debug=True)
+    book = spark.read.json(str(tmp_path / "out" / "json")).first()
+    assert book["source_pdf"] == "1890-01-02_times.pdf" and [p["page"] for p in book["pages"]] == [1, 2]
+    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "out" / "text")).collect())
+    assert "===== Page 1 =====\n\n[HEADER]\nThe Times\n\n--- Column 0 (confidence: 65.0%) ---\nthe first\nsecond" in text
+    assert "===== Page 2 =====\n\n--- Column 0" in text
+    assert spark.read.json(str(tmp_path / "out" / "debug")).count() == 2
