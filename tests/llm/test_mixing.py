@@ -19,7 +19,7 @@ def docs(seed, n=400):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, source string, taken int").repartition(4)
+    return spark.createDataFrame([(*r, 3, 4) for r in rows], "doc_id long, text string, source string, taken int, copies int").repartition(4)
 
 
 def test_word_count(spark):

@@ -55,7 +55,7 @@ def near_corpus(seed, n=150):
 
 
 def check(spark, rows):
-    df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, v int").repartition(5)
+    df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], "doc_id long, text string, v int, d1 int, class_id int").repartition(5)
     got = nearjoin.near_duplicates(df).collect()
     assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got), key=repr) == brute(rows)
     return df

@@ -39,7 +39,20 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/vellum/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._cut_path = path
+    return table
+
+
+def drop_cut(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more.
+
+    Only for tables whose every reader has itself been written: what is derived lazily from a
+    table needs it for as long as it may be computed again.
+    """
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._cut_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,5 +127,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, w
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5):
-    """True for the rows whose crc32 of the id as text is divisible by ``folds``."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0
+    """True for the rows whose crc32 of the id as text is divisible by ``folds``; false for a null id."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == 0, F.lit(False))

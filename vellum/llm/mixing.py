@@ -285,10 +285,10 @@ def _pick(rows: DataFrame, state: dict[str, dict]) -> DataFrame:
 def mix(docs: DataFrame, membership: Column, **how) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as :func:`plan_mix` takes it."""
     row = "_mix_row"
-    numbered = cut(docs.withColumn("_members", membership).withColumn(row, F.monotonically_increasing_id()))
-    plan = plan_mix(numbered, F.col("_members"), carry=[row], **how).where("copies > 0").select(row, "copies")
+    numbered = cut(docs.withColumn("_mix_members", membership).withColumn(row, F.monotonically_increasing_id()))
+    plan = plan_mix(numbered, F.col("_mix_members"), carry=[row], **how).where("copies > 0").select(row, F.col("copies").alias("_mix_copies"))
     return (
         numbered.join(plan, row)
-        .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        .withColumn("_mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
         .select(*docs.columns)
     )

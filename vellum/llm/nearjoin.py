@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, map_columns
+from vellum.llm.common import cut, drop_cut, map_columns
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 PLACES = 128
@@ -235,7 +235,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .where("u <> w")
             .distinct()
         )
-        now = cut(small)
+        after = cut(small)
+        drop_cut(now, least, large, low)
+        now = after
     roots = now.groupBy("u").agg(F.min("w").alias("root")).select(F.col("u").alias("v"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("v"), "root").distinct())
 
@@ -396,6 +398,7 @@ def near_duplicates(
     )
     edges = cut(_candidate_edges(sets.where("size > 0").select("v", "size", "sig"), threshold, recall))
     clusters = cut(connected_components(edges))
+    drop_cut(edges)
 
     held = sets.join(clusters, "v").select("v", "copies", "place.d1", "place.d2", F.col("root").alias("c"))
     wanted = held.groupBy("d1", "d2").agg(F.collect_list(F.struct("v", "copies", "c")).alias("w"))
@@ -421,6 +424,7 @@ def near_duplicates(
         .sortWithinPartitions("c", "b1", "b2")
         .mapInArrow(_verify(threshold), "v long, links long, root long, alone boolean")
     )
+    drop_cut(members, clusters)
     links = judged.groupBy("v").agg(F.sum("links").alias("links"))
     wide = connected_components(judged.where("not alone and root <> v").select(F.col("v").alias("a"), F.col("root").alias("b")))
     roots = judged.where("alone").select("v", "root").unionByName(wide)
@@ -430,6 +434,7 @@ def near_duplicates(
         .join(roots, "v", "left")
         .select("v", "copies", "place", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "v").alias("root"))
     )
+    drop_cut(sets, judged)
     classes = vertices.groupBy("root").agg(F.min("place").alias("first"))
     info = vertices.join(classes, "root").select("v", "copies", "links", "first")
     return described.select("id", "d1", "d2", "v").join(info, "v").select(
@@ -445,12 +450,37 @@ def near_duplicates(
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are first of their class, all columns; one where rows repeat."""
-    firsts = near_duplicates(docs, id_col=id_col, text_col=text_col, **how).where("is_first").select("d1", "d2").distinct()
+    firsts = near_duplicates(docs, id_col=id_col, text_col=text_col, **how).where("is_first").select(F.col("d1").alias("_f1"), F.col("d2").alias("_f2")).distinct()
     keyed = docs.withColumns(
         {
             "_d1": F.xxhash64(F.col(id_col), F.col(text_col)),
             "_d2": F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)),
         }
     )
-    kept = keyed.join(firsts, (F.col("_d1") == F.col("d1")) & (F.col("_d2") == F.col("d2")), "left_semi")
+    kept = keyed.join(firsts, (F.col("_d1") == F.col("_f1")) & (F.col("_d2") == F.col("_f2")), "left_semi")
     return kept.dropDuplicates(["_d1", "_d2"]).drop("_d1", "_d2")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS g
+  FROM w, LATERAL unnest(range(1, len(w) - least(5, len(w)) + 2)) AS u(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y, k = nx.n AND k = ny.n AS same FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 9 * k >= 4 * (nx.n + ny.n)
+  UNION ALL
+  SELECT a.doc_id, b.doc_id, TRUE FROM w a, w b WHERE len(a.w) = 0 AND len(b.w) = 0 AND a.doc_id <> b.doc_id
+), reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, least(doc_id, coalesce((SELECT min(y) FROM reach WHERE x = doc_id), doc_id)) AS class_id,
+  (SELECT count(*) FROM links WHERE x = doc_id)::BIGINT AS n_links,
+  (1 + (SELECT count(*) FROM links WHERE x = doc_id AND same))::BIGINT AS n_copies
+FROM w
+"""

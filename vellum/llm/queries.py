@@ -91,6 +91,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": urls.oracle(), 
         "op3_exact_top_k": topk.ORACLE,
+        "op4_repeated_strings": substrings.ORACLE,
+        "op5_near_duplicates": nearjoin.ORACLE,
         "op7_decontamination": decontam.ORACLE,
         "op9_line_dedup": lines.ORACLE,
+        "op10_sharding": sharding.ORACLE,
     }

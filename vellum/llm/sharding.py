@@ -123,3 +123,32 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id",
             "grown_shard",
         )
     )
+
+
+#: DuckDB SQL of the walk and of the CRC. A shard's slots follow the order of the table.
+ORACLE = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)::BIGINT[]),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), crc AS (
+  SELECT r, doc_id, (strlen(text) + 16)::BIGINT AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT,
+      [('0x' || substr(h, 2 * i + 1, 2))::BIGINT for i in range(strlen(text))]),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT AS text_crc32
+  FROM (SELECT *, hex(encode(text)) AS h FROM d), crc_table
+), walk AS (
+  SELECT r, n, (-1)::BIGINT AS b, 0::BIGINT AS j, (CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END) AS k
+  FROM d, (VALUES (40), (41)) AS c(n)
+  UNION ALL
+  SELECT r, n, j, floor((j + 1) * (2147483648.0::DOUBLE / ((m >> 33)::DOUBLE + 1)))::BIGINT, m
+  FROM (SELECT *, (k * {MULTIPLIER} + 1) % 18446744073709551616::HUGEINT AS m FROM walk) WHERE j < n
+), dealt AS (
+  SELECT r, max(CASE WHEN n = 40 THEN b END)::INTEGER AS shard, max(CASE WHEN n = 41 THEN b END)::INTEGER AS grown_shard FROM walk GROUP BY r
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY r) - 1 AS slot, grown_shard
+FROM crc JOIN dealt USING (r)
+"""

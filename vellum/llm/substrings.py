@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, map_columns
+from vellum.llm.common import cut, drop_cut, map_columns
 
 LENGTH = 200
 GRAM = 32
@@ -235,6 +235,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
     # written tables, so that both sides of a join come from plain exchanges and hot keys can be split
     shared = cut(all_pieces.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"))
     candidates = cut(all_pieces.join(shared, "m", "left_semi"))
+    drop_cut(all_pieces, shared)
     place = F.struct("place", "d1", "d2", "at")
     distinct = cut(
         candidates.groupBy("m", "p").agg(F.count("*").alias("c"), F.min(place).alias("first"), F.first("n").alias("n"))
@@ -257,6 +258,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fal
         .toDF("m", "p", "often", "first", "n", "again", "earlier")
         .drop("n")
     )
+    drop_cut(texts, distinct)
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b")))
     none = F.array().cast(_RANGES)
     is_first = F.col("first") == F.struct("place", "d1", "d2", "at")
@@ -384,3 +386,29 @@ def remove_repeats(
         joined, carve, {"text": "_bytes", "ranges": "ranges"}, types, keep=[f"_keep_{i}" for i in range(len(keep))]
     )
     return carved.withColumnsRenamed({f"_keep_{i}": c for i, c in enumerate(keep)})
+
+
+ORACLE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT r, i, hash(substr(h, 2 * i + 1, {2 * LENGTH})) AS k
+  FROM d, LATERAL unnest(range(length(h) // 2 - {LENGTH - 1})) AS u(i)
+), again AS (
+  SELECT r, i FROM s WHERE k IN (SELECT k FROM s GROUP BY k HAVING count(*) > 1)
+), marked AS (
+  SELECT *, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > {LENGTH}, TRUE)::INTEGER AS starts FROM again
+), spans AS (
+  SELECT r, min(i) AS a, max(i) + {LENGTH} AS b FROM (SELECT *, sum(starts) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g
+), edges AS (
+  SELECT r, list(a ORDER BY a) AS froms, list(b ORDER BY a) AS tos FROM spans GROUP BY r
+), kept AS (
+  SELECT doc_id, h, length(h) // 2 AS n, coalesce(froms, []) AS froms, coalesce(tos, []) AS tos FROM d LEFT JOIN edges USING (r)
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(list_sum([tos[i] - froms[i] for i in range(1, len(froms) + 1)]), 0)::BIGINT AS n_removed,
+  len(froms)::BIGINT AS n_spans,
+  sha256(unhex(array_to_string([substr(h, 2 * (CASE WHEN i = 0 THEN 0 ELSE tos[i] END) + 1,
+    2 * ((CASE WHEN i = len(froms) THEN n ELSE froms[i + 1] END) - (CASE WHEN i = 0 THEN 0 ELSE tos[i] END))::BIGINT)
+    for i in range(len(froms) + 1)], ''))) AS kept_sha256
+FROM kept
+"""
