@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: Rows of an Arrow batch that are turned into Python objects at once.
+SLICE_ROWS = 512
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
@@ -76,13 +80,20 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     ]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of a few rows, so that little of one is held as Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_columns(
     df: DataFrame, fn, inputs: dict[str, str], outputs: dict[str, str], keep: list[str] | None = None
 ) -> DataFrame:
     """Compute columns in Arrow batches, partition by partition.
 
-    ``inputs`` names the arguments of ``fn`` and the column of each; ``fn`` gets a list for each
-    argument (texts as UTF-8 bytes) and returns a list for each name in ``outputs``, whose types
+    ``inputs`` names the arguments of ``fn`` and the column of each; ``fn`` is called for a few
+    rows at a time and gets a list for each argument (texts as UTF-8 bytes) and returns a list for each name in ``outputs``, whose types
     are given as DDL. Columns ``keep`` (all, if None) go along; those that ``outputs`` names are
     replaced.
     """
@@ -95,7 +106,7 @@ def map_columns(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             args = {}
             for a in inputs:
                 column = batch.column(f"_in_{a}")

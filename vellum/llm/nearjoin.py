@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, drop_cut, map_columns
+from vellum.llm.common import cut, drop_cut, map_columns, slices
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 PLACES = 128
@@ -151,7 +151,7 @@ def _whole_groups(columns: tuple[str, ...], keys: int, most_rows: int, handle, s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if len(held) >= most_rows and row[:keys] != held[-1][:keys]:
                     yield pa.RecordBatch.from_pydict(handle(held), schema=schema)
@@ -374,8 +374,15 @@ def near_duplicates(
     """
     key = [F.xxhash64(F.col(id_col), F.col(text_col)), F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col))]
 
+    kept: list[Shingler] = []  # one for each task, with what it remembers of words
+
+    def shingler() -> Shingler:
+        if not kept:
+            kept.append(Shingler(words))
+        return kept[0]
+
     def describe(text) -> dict[str, list]:
-        shingle = Shingler(words)
+        shingle = shingler()
         out: dict[str, list] = {"v": [], "size": [], "sig": []}
         for t in text:
             s = shingle(t)
@@ -405,7 +412,7 @@ def near_duplicates(
     texts = rows.select("d1", "d2", "text").join(wanted, ["d1", "d2"]).select("text", F.explode("w").alias("w"))
 
     def shingles(text) -> dict[str, list]:
-        shingle = Shingler(words)
+        shingle = shingler()
         return {"shingles": [shingle(t).tobytes() for t in text]}
 
     members = cut(

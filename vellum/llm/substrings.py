@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, drop_cut, map_columns
+from vellum.llm.common import cut, drop_cut, map_columns, slices
 
 LENGTH = 200
 GRAM = 32
@@ -186,7 +186,7 @@ def _compare_groups(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in slices(batches):
             cols = [batch.column(c).to_pylist() for c in ("m", "p", "place", "d1", "d2", "at", "piece")]
             for row in zip(*cols, strict=True):
                 if size > ARRAY_BYTES and row[0] != held[-1][0]:

@@ -60,7 +60,7 @@ class ToxicityModel:
     weights: tuple[float, ...]
     bias: float
 
-    def scorer(self, most_cached: int = 200_000):
+    def scorer(self, most_cached: int = 100_000):
         """A function from texts to probabilities; what it remembers of words is bounded."""
         place = {f: i for i, f in enumerate(self.features)}
         cache: dict[str, tuple[int, ...]] = {}
@@ -168,8 +168,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     bias; texts are read whole at any length; repeated rows score alike; columns of the same
     names are replaced. Without a labelled row the bias is 0 and every score 0.5.
     """
+    kept: list = []  # one scorer for each task, with what it remembers of words
+
     def run(text: list[bytes | None]) -> dict[str, list]:
-        score = model.scorer()
+        score = kept[0] if kept else model.scorer()
+        kept[:] = [score]
         found = [score((t or b"").decode("utf-8", "replace")) for t in text]
         return {"score": found, "predicted": [int(s >= 0.5) for s in found]}
 
