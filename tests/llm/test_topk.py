@@ -36,6 +36,7 @@ def vectors(n, seed=1, ties=False):
 
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(topk, "LOT_ROWS", 10)
     rows = vectors(700)
     assert run(spark, rows) == brute(rows)
 

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import cut
 
-#: Candidates in a block, and queries that meet a block at once.
+#: Candidates in a block, queries in a lot, and queries of a lot that read a block at once.
 BLOCK_ROWS = 4096
+LOT_ROWS = 8192
 QUERY_ROWS = 1024
 #: Shares of the lists that have been read when bounds are compared.
 DEPTHS = (0.08, 0.2, 0.4, 0.7)
@@ -111,8 +112,8 @@ def top_k(
     fewer rows where fewer exist. Vectors that are null or hold a null or non-finite component
     take no part, nor do rows with a null id; vectors of another length than the query's are
     not compared with it; a row repeated with id and vector counts once. Other columns are
-    ignored. The candidates are dealt to blocks by hash, and the stated query set visits every
-    block; no list, bound or candidate set outlives its block.
+    ignored. The candidates are dealt to blocks and the stated queries to lots by hash, and every
+    lot visits every block: a task holds one of each, however many there are.
     """
     ints = integer_vector(F.col(vector_col), scale)
     rows = cut(
@@ -123,18 +124,17 @@ def top_k(
         .withColumn("dims", F.size("v"))
     )
     blocks = max(1, -(-rows.count() // BLOCK_ROWS))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)))
-    asked = (
-        rows.where(F.col("vec_id") % every == 0)
-        .withColumn("lot", F.pmod(F.xxhash64("v", "vec_id"), F.lit(max(1, blocks * BLOCK_ROWS // (every * QUERY_ROWS)))))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    )
+    queries = rows.where(F.col("vec_id") % every == 0)
+    lots = max(1, -(-queries.count() // LOT_ROWS))
+    every_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks))).withColumn("lot", every_of(lots))
+    asked = queries.withColumn("lot", F.pmod(F.xxhash64("v", "vec_id"), F.lit(lots))).withColumn("block", every_of(blocks))
 
     def meet(key: tuple, queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(block):
             top = lambda part: max((max(map(abs, map(int, (min(v), max(v))))) for v in part["v"]), default=0)
-            limit = float(top(queries)) * float(top(block)) * int(key[1])
+            limit = float(top(queries)) * float(top(block)) * int(key[2])
             x, ids = _matrix(block["v"], limit), block["vec_id"].to_numpy(np.int64)
             for start in range(0, len(queries), QUERY_ROWS):
                 part = queries.iloc[start : start + QUERY_ROWS]
@@ -146,8 +146,8 @@ def top_k(
         return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in out.items()})
 
     near = (
-        asked.groupBy("block", "dims")
-        .cogroup(dealt.groupBy("block", "dims"))
+        asked.groupBy("block", "lot", "dims")
+        .cogroup(dealt.groupBy("block", "lot", "dims"))
         .applyInPandas(meet, "query_id long, vec_id long, score long")
     )
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
