@@ -76,6 +76,17 @@ def test_the_first_copy_stays(spark, monkeypatch, group):
         assert bytes(got[d]["kept"]).decode() in dict(rows)[d] or n == 400
 
 
+def test_repeated_rows_are_one_document_where_the_first_stays(spark):
+    rng = random.Random(11)
+    shared, tail = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (500, 300))
+    rows = [(1, shared + tail)] * 3 + [(2, shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["n_removed"]) for r in substrings.remove_repeats(df, keep_first=True).collect()]
+    assert sorted(got) == [(1, 0)] * 3 + [(2, 500)]
+    every = [(r["doc_id"], r["n_removed"]) for r in substrings.remove_repeats(df).collect()]
+    assert sorted(every) == [(1, 800)] * 3 + [(2, 500)]
+
+
 def test_nothing(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

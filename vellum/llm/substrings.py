@@ -167,7 +167,8 @@ def _compare_groups(length: int):
     out = pa.schema([("m", pa.int64()), ("p", pa.int64()), ("again", _arrow_ranges()), ("earlier", _arrow_ranges())])
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        rows = sorted(rows, key=lambda r: (r[0], r[2:6]))
+        # a piece of a repeated row comes once for each of its rows
+        rows = sorted({r[:2]: r for r in rows}.values(), key=lambda r: (r[0], r[2:6]))
         (part, _), again, earlier = repeated_starts([r[6] for r in rows], length)
         edges = np.searchsorted(part, np.arange(len(rows) + 1))
         ranges = lambda mask: [
