@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -170,17 +172,26 @@ def apply_rule(col: Column, rule: Rule) -> Column:
     return F.regexp_replace(col, F.lit(java_pattern(rule.pattern)), F.lit(java_replacement(rule.replacement)))
 
 
+def whole_word(rule: Rule) -> str | None:
+    """The word that a rule replaces, if it is a rule on one whole word."""
+    found = re.fullmatch(r"\\b(\w+)\\b", rule.pattern)
+    return found[1] if found else None
+
+
 def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """Each rule over the result of the one before; rules that cannot change anything are left out.
 
-    A rule that has occurred before, with no rule between that could bring its matches back, and
-    a rule that replaces a word by itself, change nothing.
+    A word rule that has occurred before in its row of word rules, and one that replaces a word
+    by itself, change nothing. A row of word rules is skipped for texts that hold none of its
+    words: no rule in it could bring another's word about unless it replaced one itself.
     """
-    done: set[tuple[str, str]] = set()
-    for rule in rules:
-        literal = re.fullmatch(r"\\b(\w+)\\b", rule.pattern)
-        if literal and (literal[1] == rule.replacement or (rule.pattern, rule.replacement) in done):
-            continue
-        done.add((rule.pattern, rule.replacement))
-        col = apply_rule(col, rule)
+    for words, group in groupby(rules, key=lambda r: whole_word(r) is not None):
+        chain = list(group)
+        if words:
+            chain = [r for r in dict.fromkeys(chain) if whole_word(r) != r.replacement]
+        done = reduce(apply_rule, chain, col)
+        if len(chain) > 2 and words:
+            any_word = "|".join(whole_word(r) for r in chain)
+            done = F.when(col.rlike(rf"(?U)\b(?:{any_word})\b"), done).otherwise(col)
+        col = done
     return col
