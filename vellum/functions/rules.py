@@ -182,16 +182,11 @@ def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """Each rule over the result of the one before; rules that cannot change anything are left out.
 
     A word rule that has occurred before in its row of word rules, and one that replaces a word
-    by itself, change nothing. A row of word rules is skipped for texts that hold none of its
-    words: no rule in it could bring another's word about unless it replaced one itself.
+    by itself, change nothing.
     """
     for words, group in groupby(rules, key=lambda r: whole_word(r) is not None):
         chain = list(group)
         if words:
             chain = [r for r in dict.fromkeys(chain) if whole_word(r) != r.replacement]
-        done = reduce(apply_rule, chain, col)
-        if len(chain) > 2 and words:
-            any_word = "|".join(whole_word(r) for r in chain)
-            done = F.when(col.rlike(rf"(?U)\b(?:{any_word})\b"), done).otherwise(col)
-        col = done
+        col = reduce(apply_rule, chain, col)
     return col

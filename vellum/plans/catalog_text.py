@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vellum.functions import rules as R
 from vellum.functions import text as T
 from vellum.plans.registry import query
+from vellum.sources import files
 
 #: What Python calls white space, for an engine whose classes are ASCII.
 WS = r"\t\n\x0B\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -138,7 +139,8 @@ def text_query(name: str, noised: str, change, sql) -> None:
     """Register a query that applies ``change`` to noised text, and the SQL that must equal it."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.expr(noised.replace("\\", "\\\\")).alias("x"))
+        texts = files.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+        docs = texts.select("doc_id", F.expr(noised.replace("\\", "\\\\")).alias("x"))
         done = docs.withColumn("y", change(F.col("x")))
         return done.select(
             "doc_id",

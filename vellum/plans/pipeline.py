@@ -50,7 +50,7 @@ def run(
     state.save(settings, total, start, end)
     wanted = recover.select_rows(found, start, end)
     pending = wanted if done is None else recover.pending(wanted, done)
-    fixed = resume.apply_stages(pending, build_stages(era, skip_regex, make_enricher))
+    fixed = resume.apply_stages(files.spread(pending), build_stages(era, skip_regex, make_enricher))
     fixed.select("row_idx", "date", "text", "original_len").write.mode("append").parquet(f"{work}/rows")
     committed = spark.read.parquet(f"{work}/rows")
     merged = recover.merge_completed(wanted, committed)

@@ -23,6 +23,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores where the input comes in fewer pieces than there are cores.
+
+    A small file, or one that cannot be split, is read by one task; work that is heavy for each
+    row is then better dealt out. A large input has more pieces than cores and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def with_suffix(df: DataFrame, path: Column, suffix: str) -> DataFrame:
     """Rows whose path ends in a suffix of either case, sorted by path."""
     return df.where(F.lower(path).endswith(suffix)).orderBy(path)
