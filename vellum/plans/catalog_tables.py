@@ -270,10 +270,9 @@ SELECT doc_id, pos - 1 AS pos, sha256(string_agg(part, {sep} ORDER BY i)) AS chu
 _NO_LONG = "list_max([length(x) for x in p]) + {cost} <= {limit}"
 
 
-def _packed(spark, sf_dir, text, sep, limit, how):
+def _packed(spark, sf_dir, text, limit, how):
+    """Chunks of every document; the SQL leaves out those with a part beyond the limit."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
-    longest = F.array_max(F.transform(F.split("text", sep, -1), lambda x: F.length(x)))
-    docs = docs.where(longest + len(sep) <= limit)
     return docs.select("doc_id", F.explode(C.chunk_column(F.col("text"), limit, how)).alias("c")).select(
         "doc_id", F.col("c.pos").alias("pos"), F.sha2("c.chunk", 256).alias("chunk_sha256")
     )
@@ -286,7 +285,7 @@ def _packed(spark, sf_dir, text, sep, limit, how):
     " AND list_max([length(x) for x in string_split(text, chr(10))]) + 2 <= 1200",
 )
 def chunk_paragraphs(spark, sf_dir):
-    return _packed(spark, sf_dir, F.replace("text", F.lit("\n"), F.lit("\n\n")), "\n\n", 1200, C.chunk_text)
+    return _packed(spark, sf_dir, F.replace("text", F.lit("\n"), F.lit("\n\n")), 1200, C.chunk_text)
 
 
 @query(
@@ -296,7 +295,7 @@ def chunk_paragraphs(spark, sf_dir):
     " AND list_max([length(x) for x in string_split(text, chr(10))]) + 1 <= 1200",
 )
 def chunk_lines(spark, sf_dir):
-    return _packed(spark, sf_dir, F.col("text"), "\n", 1200, C.chunk_lines)
+    return _packed(spark, sf_dir, F.col("text"), 1200, C.chunk_lines)
 
 
 @query("chunk_chars")
