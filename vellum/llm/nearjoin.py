@@ -4,7 +4,7 @@ A text is its set of five-word shingles. Each run of the join grows a tree of bu
 samples one or two places of a min-hash signature (sampled shared tokens) and splits its sets by
 what stands there, so that similar sets keep meeting. Buckets that are small are compared
 outright, large ones are split further, and what still does not part is compared block against
-block. As many runs are made as the target recall takes.
+block. As many runs are made as the target recall takes at the last depth.
 
 Sets that meet and look alike form candidate clusters. Within a cluster all pairs are verified
 exactly on whole shingle sets, so a link that no bucket showed is still found there.
@@ -95,8 +95,23 @@ def survival(similarity: float, depth: int, threshold: float = THRESHOLD) -> flo
     return alive
 
 
+def missed(runs: int, threshold: float = THRESHOLD, depth: int = DEPTH) -> float:
+    """Chance that two sets at the threshold share no path of some depth in any run, averaged
+    over the number of signature places in which they agree."""
+    total = 0.0
+    for k in range(PLACES + 1):
+        odds = math.comb(PLACES, k) * threshold**k * (1 - threshold) ** (PLACES - k)
+        total += odds * (1 - survival(k / PLACES, depth, threshold)) ** runs
+    return total
+
+
 def runs_for(recall: float, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, depth, threshold)))
+    if not recall < 1:
+        raise ValueError("recall must be below 1")
+    runs = 1
+    while missed(runs, threshold, depth) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def grow(paths: np.ndarray, signatures: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +179,11 @@ def _whole_groups(columns: tuple[str, ...], keys: int, most_rows: int, handle, s
 
 
 def _alike(threshold: float):
-    """In each bucket, link sets that look alike to the first of their component."""
+    """In each bucket, link sets that look alike to the first of their component.
+
+    Where two blocks of a bucket meet, the components within each are told where that block meets
+    itself; only what links one component to another is told here.
+    """
     least = PLACES * threshold - MARGIN * math.sqrt(PLACES * threshold * (1 - threshold))
 
     def handle(rows: list[tuple]) -> dict[str, list]:
@@ -172,6 +191,8 @@ def _alike(threshold: float):
         names = np.unique(np.array([r[:3] for r in rows], np.int64), axis=0, return_inverse=True)[1].ravel()
         order = np.argsort(names, kind="stable")
         names = names[order]
+        alone = np.array([r[1] == r[2] for r in rows])[order]
+        own = np.array([r[6] for r in rows], np.int64)[order]
         v = np.array([r[3] for r in rows], np.int64)[order]
         size = np.array([r[4] for r in rows], np.float64)[order]
         sig = np.frombuffer(b"".join(rows[i][5] for i in order), np.uint16).reshape(len(rows), PLACES)
@@ -182,11 +203,14 @@ def _alike(threshold: float):
             same = (sig[i] == sig[j]).sum(axis=1) >= least
             left.append(i[same])
             right.append(j[same])
-        root = _components(len(v), np.concatenate(left), np.concatenate(right))
-        linked = np.flatnonzero(root != np.arange(len(v)))
-        return {"a": v[linked].tolist(), "b": v[root[linked]].tolist()}
-
-    columns = ("path", "b1", "b2", "v", "size", "sig")
+        i, j, all_rows = np.concatenate(left), np.concatenate(right), np.arange(len(v))
+        within = own[i] == own[j]
+        root = _components(len(v), i[within], j[within])
+        over = _components(len(v), root[i[~within]], root[j[~within]])
+        told, across = np.flatnonzero(alone & (root != all_rows)), np.flatnonzero(over != all_rows)
+        return {"a": v[np.concatenate([told, across])].tolist(), "b": v[np.concatenate([root[told], over[across]])].tolist()}
+
+    columns = ("path", "b1", "b2", "v", "size", "sig", "own")
     return _whole_groups(columns, 3, 4096, handle, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
@@ -243,8 +267,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 
 def _candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Pairs (a, b) of set ids that met in a bucket and look alike; a forest in each bucket."""
-    runs = runs_for(recall, threshold)
+    """Pairs (a, b) of set ids that met in a bucket and look alike; a forest in each
+    bucket, over all its blocks."""
+    # any bucket may turn out large and be split to the last depth, where fewer pairs still meet
+    runs = runs_for(recall, threshold, MAX_DEPTH)
 
     def plant(v, sig) -> dict[str, list]:
         s = np.frombuffer(b"".join(sig), np.uint16).reshape(len(v), PLACES)
@@ -279,7 +305,8 @@ def _candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFr
         ready = sizes if last else sizes.where(F.col("n") <= BUCKET_ROWS)
         met = _blocked(level, ready, "path", BUCKET_ROWS, "n").join(dense, "v")
         found = (
-            met.select("path", "b1", "b2", "v", "size", "sig")
+            met.withColumn("own", F.pmod(F.xxhash64("v", F.lit(5)), F.col("_blocks")).cast("int"))
+            .select("path", "b1", "b2", "v", "size", "sig", "own")
             .repartition("path", "b1", "b2")
             .sortWithinPartitions("path", "b1", "b2")
             .mapInArrow(_alike(threshold), "a long, b long")
