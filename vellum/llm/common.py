@@ -63,6 +63,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(names, stem: str) -> str:
+    """``stem``, with underscores before it until no name starts with it, whatever the case."""
+    taken = [n.lower() for n in names]
+    while any(n.startswith(stem.lower()) for n in taken):
+        stem = "_" + stem
+    return stem
+
+
 def plain(col: Column | str) -> Column:
     """A text column with null as the empty string."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
@@ -98,7 +106,8 @@ def map_columns(
     replaced.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in outputs]
-    read = df.select(*keep, *(F.col(c).alias(f"_in_{a}") for a, c in inputs.items()))
+    own = unused(keep, "_in_")
+    read = df.select(*keep, *(F.col(c).alias(own + a) for a, c in inputs.items()))
     schema = T.StructType(
         [T.StructField(c, read.schema[c].dataType, True) for c in keep]
         + [T.StructField(c, T._parse_datatype_string(t), True) for c, t in outputs.items()]
@@ -109,7 +118,7 @@ def map_columns(
         for batch in slices(batches):
             args = {}
             for a in inputs:
-                column = batch.column(f"_in_{a}")
+                column = batch.column(own + a)
                 if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
                     column = column.cast(pa.large_binary())
                 args[a] = column.to_pylist()
@@ -125,7 +134,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, w
     """Up to ``most`` labelled documents of each class, the first in a hashed order of their ids.
 
     Only ids and labels are ordered; the two small lists, whose length is the bound, then meet
-    the documents.
+    the documents. Where an id is repeated, the row with the smallest hash stands for it, so the
+    sample is the same in every run.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     if where is not None:
@@ -134,7 +144,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, w
     picked = [
         usable.where(F.col("_label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)
     ]
-    return docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+    found = docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+    rest = [c for c in found.columns if c != "doc_id"]
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("_one"))
+    return one.select("doc_id", *(F.col(f"_one.{c}").alias(c) for c in rest))
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5):

@@ -2,22 +2,29 @@
 
 A logistic regression on words and on character n-grams of words is fitted to labelled texts.
 Labelled sentences that hold an identity term are copied with the term swapped for another of
-its group, and the loss adds the squared change of the score between the two. Terms that only
-name a group then weigh alike, and a neutral mention moves a score by little.
+its group; of every text one more sentence is told with a mention of a group and with a mention
+of another, so that pairs exist whatever the texts name. The loss adds the squared change of the
+score between the two of a pair. Terms that only name a group then weigh alike, and a neutral
+mention moves a score by little.
+
+Texts are turned into counts of features where they lie; only counts reach the driver.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import held_out, labelled_sample, map_columns
+from vellum.llm.common import cut, drop_cut, held_out, labelled_sample, map_columns, slices
 
 # Identity terms, by group; a swap stays within a group.
 IDENTITY_GROUPS = (
@@ -37,8 +44,8 @@ IDENTITY_GROUPS = (
     ("musulmanes", "cristianos", "judíos"),
 )
 
-#: Bounds of the labelled sample: documents of each class, and bytes of one of them.
-SAMPLE_ROWS, SAMPLE_BYTES = 2500, 60_000
+#: Bound of the labelled sample: documents of each class. Their texts are read whole.
+SAMPLE_ROWS = 2500
 GRAM, MOST_FEATURES, LEAST_DOCS, LEAST_Z, COUNT_CAP = 5, 1500, 3, 2.5, 4
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
@@ -59,6 +66,8 @@ class ToxicityModel:
     features: tuple[str, ...]
     weights: tuple[float, ...]
     bias: float
+    #: Counterfactual pairs that the fit has seen.
+    pairs: int = 0
 
     def scorer(self, most_cached: int = 100_000):
         """A function from texts to probabilities; what it remembers of words is bounded."""
@@ -94,71 +103,147 @@ def swapped_sentences(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def train(texts: list[str], labels: list[int], fairness: float = 10.0, l2: float = 3e-3, rounds: int = 200) -> ToxicityModel:
-    """Fit to texts (1: toxic). ``fairness`` weighs the squared score change under a swap."""
-    y = np.array(labels, float)
-    grams: dict[str, frozenset[str]] = {}
+def mentioning_sentences(text: str) -> list[tuple[str, str]]:
+    """One sentence of the text, told of one group and of another; which depends on the text alone."""
+    sentences = [s for s in _SENTENCE.split(text.lower()) if s.strip()]
+    if not sentences:
+        return []
+    draw = zlib.crc32(text.encode("utf-8", "replace"))
+    sentence, group = sentences[draw % len(sentences)], IDENTITY_GROUPS[(draw >> 8) % len(IDENTITY_GROUPS)]
+    first = (draw >> 16) % len(group)
+    return [(f"{group[first]} {sentence}", f"{group[(first + 1) % len(group)]} {sentence}")]
 
-    def gram_counts(text: str) -> Counter:
-        out: Counter = Counter()
-        for w in words(text):
-            if w not in grams:
-                grams[w] = word_grams(w)
-            out.update(grams[w])
-        return out
 
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for text, label in zip(texts, labels, strict=True):
-        seen[label].update(gram_counts(text).keys())
-    sums = [max(1, int((y == v).sum())) for v in (0, 1)]
-    ranked = []
-    for f in seen[0].keys() | seen[1].keys():
-        a, b = seen[0][f], seen[1][f]
-        if a + b >= LEAST_DOCS:
-            p = (a + b) / len(y)
-            z = abs(b / sums[1] - a / sums[0]) / math.sqrt(p * (1 - p) * (1 / sums[0] + 1 / sums[1]) + 1e-12)
-            if z > LEAST_Z:
-                ranked.append((-z, f))
-    features = tuple(f for _, f in sorted(ranked)[:MOST_FEATURES])
-    place = {f: i for i, f in enumerate(features)}
+def pairs_of(text: str) -> list[tuple[str, str]]:
+    return swapped_sentences(text) + mentioning_sentences(text)
+
+
+def gram_counts(text: str) -> Counter:
+    """In how many distinct words of the text each gram stands."""
+    out: Counter = Counter()
+    for w in words(text):
+        out.update(word_grams(w))
+    return out
+
+
+#: Grams of the identity terms, which are features whatever the texts hold.
+IDENTITY_GRAMS = sorted({g for group in IDENTITY_GROUPS for term in group for g in word_grams(term)})
+
+
+def featurise(text: str, place: dict[str, int]) -> dict[int, int]:
+    return {place[g]: min(n, COUNT_CAP) for g, n in gram_counts(text).items() if g in place}
+
+
+def pair_changes(text: str, place: dict[str, int]) -> list[tuple[tuple[int, int], ...]]:
+    """For each pair of a text: the features that change, and by how much."""
+    out = []
+    for a, b in pairs_of(text):
+        x, y = featurise(a, place), featurise(b, place)
+        change = {i: x.get(i, 0) - y.get(i, 0) for i in x.keys() | y.keys()}
+        out.append(tuple(sorted((i, d) for i, d in change.items() if d)))
+    return [c for c in out if c]
+
+
+def separation(in_toxic: int, in_clean: int, toxic: int, clean: int) -> float:
+    """Standard score of the difference between the shares of two classes that hold a feature."""
+    p = (in_toxic + in_clean) / (toxic + clean)
+    spread = math.sqrt(p * (1 - p) * (1 / max(1, toxic) + 1 / max(1, clean)) + 1e-12)
+    return abs(in_toxic / max(1, toxic) - in_clean / max(1, clean)) / spread
 
-    def matrix(rows: list[str]) -> np.ndarray:
-        m = np.zeros((len(rows), len(features)), np.float32)
-        for r, text in enumerate(rows):
-            for g, n in gram_counts(text).items():
-                if g in place:
-                    m[r, place[g]] = min(n, COUNT_CAP)
-        return m
-
-    x = matrix(texts)
-    pairs = [p for t in texts for p in swapped_sentences(t)]
-    change = matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs]) if pairs else np.zeros((0, len(features)))
-    change = change[np.any(change != 0, axis=1)] if len(change) else change
-    each = np.where(y > 0, 0.5 / sums[1], 0.5 / sums[0])
-    w, bias = np.zeros(len(features)), 0.0
-    m, v = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
+
+def loss_gradient(w: np.ndarray, bias: float, x, y, each, change, weight, fairness: float, l2: float):
+    """(loss, gradient by the weights and the bias): logistic loss, weighed by ``each``, half of
+    l2 w.w, and ``fairness`` times the mean squared score change of the pairs."""
+    v = w.astype(x.dtype)
+    z = np.clip((x @ v).astype(float) + bias, -60, 60)
+    loss = float(each @ (np.logaddexp(0, z) - y * z)) + l2 / 2 * float(w @ w)
+    miss = (1 / (1 + np.exp(-z)) - y) * each
+    grad = np.append(x.T @ miss.astype(x.dtype) + l2 * w, miss.sum())
+    if len(change):
+        moved, share = change @ v, weight / weight.sum()
+        loss += fairness * float(share @ moved**2)
+        grad[:-1] += fairness * 2 * (change.T @ (share * moved).astype(x.dtype))
+    return loss, grad
+
+
+def descend(x, y, change, weight, fairness: float = 10.0, l2: float = 3e-3, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Weights and bias after ``rounds`` adaptive gradient steps; both classes weigh alike."""
+    each = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
+    w, bias = np.zeros(x.shape[1]), 0.0
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, rounds + 1):
-        miss = (1 / (1 + np.exp(-np.clip(x @ w + bias, -60, 60))) - y) * each
-        grad = np.append(x.T @ miss + l2 * w, miss.sum())
-        if len(change):
-            grad[:-1] += fairness * 2 * (change.T @ (change @ w)) / len(change)
+        grad = loss_gradient(w, bias, x, y, each, change, weight, fairness, l2)[1]
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    return ToxicityModel(features, tuple(float(a) for a in w), float(bias))
+    return w, float(bias)
+
+
+def _dense(rows, width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width), np.float32)
+    for r, pairs in enumerate(rows):
+        for i, n in pairs:
+            out[r, i] = n
+    return out
+
 
+def fit(
+    docs: DataFrame, labels: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS, fairness: float = 10.0
+) -> ToxicityModel:
+    """Fit to a bounded sample of the labelled rows that are not held out (``rows`` a class).
 
-def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fit to a bounded sample of the labelled rows that are not held out."""
-    sample = (
-        labelled_sample(docs.select("doc_id", text_col), labels, "toxic", rows, ~held_out())
-        .where(F.octet_length(text_col) <= SAMPLE_BYTES)
-        .select(text_col, "_label", "doc_id")
-        .limit(2 * rows)
-        .collect()
+    Texts of the sample are read whole, whatever their length, by the executors: they count in
+    how many texts of each class a gram stands, and later the features of each text and the
+    changes of its counterfactual pairs. A repeated id counts once, with the row of the smallest
+    hash. Null texts are empty; labels other than 0 and 1 and null ids are left out.
+    """
+    texts = cut(labelled_sample(docs.select("doc_id", F.col(text_col).alias("text")), labels, "toxic", rows, ~held_out()))
+    sums = {r["_label"]: r["n"] for r in texts.groupBy("_label").agg(F.count("*").alias("n")).collect()}
+    clean, toxic = sums.get(0, 0), sums.get(1, 0)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("_label").to_pylist(), strict=True):
+                seen[label].update({g for w in words(text or "") for g in word_grams(w)})
+            grams = sorted(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_pydict({"gram": grams, "a": [seen[0][g] for g in grams], "b": [seen[1][g] for g in grams]})
+
+    counted = (
+        texts.select("text", "_label")
+        .mapInArrow(count, "gram string, a long, b long")
+        .groupBy("gram")
+        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        .where(F.col("a") + F.col("b") >= LEAST_DOCS)
     )
-    ordered = sorted(sample, key=lambda r: (r["doc_id"], r[text_col]))
-    return train([r[text_col] for r in ordered], [r["_label"] for r in ordered])
+    p = (F.col("a") + F.col("b")) / F.lit(max(1, clean + toxic))
+    spread = F.sqrt(p * (1 - p) * F.lit(1 / max(1, toxic) + 1 / max(1, clean)) + 1e-12)
+    z = F.abs(F.col("b") / F.lit(max(1, toxic)) - F.col("a") / F.lit(max(1, clean))) / spread
+    best = counted.withColumn("z", z).where(F.col("z") > LEAST_Z).orderBy(F.col("z").desc(), "gram").limit(MOST_FEATURES)
+    features = tuple(dict.fromkeys([*(r["gram"] for r in best.select("gram").collect()), *IDENTITY_GRAMS]))
+    place = {f: i for i, f in enumerate(features)}
+
+    def describe(text) -> dict[str, list]:
+        out: dict[str, list] = {"counts": [], "changes": []}
+        flat = lambda pairs: [v for pair in pairs for v in pair]
+        for t in text:
+            whole = (t or b"").decode("utf-8", "replace")
+            out["counts"].append(flat(sorted(featurise(whole, place).items())))
+            out["changes"].append([flat(c) for c in pair_changes(whole, place)])
+        return out
+
+    types = {"counts": "array<int>", "changes": "array<array<int>>"}
+    found = map_columns(texts, describe, {"text": "text"}, types, keep=["doc_id", "_label"])
+    described = sorted(found.select("doc_id", "_label", "counts").collect(), key=lambda r: r["doc_id"])
+    changed = found.select(F.explode("changes").alias("c")).groupBy("c").agg(F.count("*").alias("n")).collect()
+    drop_cut(texts)
+    pairs = lambda flat: list(zip(flat[::2], flat[1::2]))
+    changed = sorted(changed, key=lambda r: r["c"])
+    x = _dense([pairs(r["counts"]) for r in described], len(features))
+    change = _dense([pairs(r["c"]) for r in changed], len(features))
+    weight = np.array([r["n"] for r in changed], float)
+    w, bias = descend(x, np.array([r["_label"] for r in described], float), change, weight, fairness)
+    return ToxicityModel(features, tuple(float(a) for a in w), bias, int(weight.sum()))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
