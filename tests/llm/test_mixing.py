@@ -70,8 +70,9 @@ def test_ties_and_long_edges_are_cut_digit_by_digit(spark, monkeypatch):
 def test_overlapping_sources_flow_to_both_quotas():
     flow = mixing.route({("sa",): 100, ("sa", "sb"): 50, ("sb",): 10}, {"sa": 120, "sb": 60})
     assert sum(flow.values()) == 180
-    # nothing is repeated while first copies are left
-    assert flow == {("sa",): 100, ("sa", "sb"): 50, ("sb",): 30} or all(flow[p] >= c for p, c in ((("sa",), 100), (("sa", "sb"), 50), (("sb",), 10)))
+    # all first copies and twenty second ones, which cost 1 a word; no third one
+    assert all(flow[p] >= c for p, c in ((("sa",), 100), (("sa", "sb"), 50), (("sb",), 10)))
+    assert cost_of(flow, {("sa",): 100, ("sa", "sb"): 50, ("sb",): 10}) == 20
     assert mixing.route({("sa",): 10}, {"sa": 100})[("sa",)] == 30
 
 
@@ -100,3 +101,93 @@ def test_too_many_patterns_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_PATTERNS", 2)
     with pytest.raises(ValueError):
         mixing.plan_mix(frame(spark, [(i, "w", str(i)) for i in range(3)]), F.array("source"))
+
+
+def cheapest(capacity, quota, copies=3):
+    """(most words, least cost) over all whole-number flows, by trying them."""
+    patterns = sorted(capacity)
+    best = (0, 0)
+
+    def walk(i, left, words, cost):
+        nonlocal best
+        if i == len(patterns):
+            best = max(best, (words, -cost))
+            return
+        p = patterns[i]
+
+        def split(j, room, given, rest):
+            if j == len(p):
+                each, cost_p = given, 0
+                for r in range(copies):
+                    n = min(capacity[p], each)
+                    cost_p, each = cost_p + n * r * (r + 1) // 2, each - n
+                walk(i + 1, rest, words + given, cost + cost_p)
+                return
+            for n in range(min(room, rest[p[j]]) + 1):
+                split(j + 1, room - n, given + n, {**rest, p[j]: rest[p[j]] - n})
+
+        split(0, copies * capacity[p], 0, left)
+
+    walk(0, dict(quota), 0, 0)
+    return best[0], -best[1]
+
+
+def cost_of(flow, capacity, copies=3):
+    total = 0
+    for p, words in flow.items():
+        for r in range(copies):
+            n = min(capacity[p], words)
+            total, words = total + n * r * (r + 1) // 2, words - n
+    return total
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_the_flow_is_a_cheapest_of_the_largest(seed):
+    rng = random.Random(seed)
+    names = ["sa", "sb", "sc"][: rng.randint(1, 3)]
+    patterns = {tuple(sorted(rng.sample(names, rng.randint(1, len(names))))) for _ in range(3)}
+    capacity = {p: rng.randint(0, 3) for p in patterns}
+    quota = {s: rng.randint(0, 6) for s in names}
+    flow = mixing.route(capacity, quota)
+    assert (sum(flow.values()), cost_of(flow, capacity)) == cheapest(capacity, quota)
+
+
+def test_the_plan_equals_a_brute_force_of_its_sums(spark):
+    rows = [(i, "w " * (1 + i % 7), "abcd"[i % 4] if i % 9 else None) for i in range(300)]
+    got = mixing.plan_mix(frame(spark, rows), F.array("source")).collect()
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, fixed = sum(sizes.values()), {}
+    while True:
+        free = [s for s in order if s not in fixed]
+        left = total - sum(fixed.values())
+        over = [s for s in free if left * weight[s] / sum(weight[x] for x in free) > 3 * sizes[s]]
+        if not over:
+            break
+        fixed |= {s: 3 * sizes[s] for s in over}
+    want = fixed | {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+    named = {r[0]: r[2] for r in rows}
+    taken = {}
+    for r in got:
+        s = named[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s])
+        taken[s] = taken.get(s, 0) + r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 7 for s in want)
+
+
+def test_separators_in_sources_and_clashing_columns(spark):
+    rows = [(1, "a b", "a\x1fb", "x", 1), (2, "c d", "c", "y", 2), (3, "e f", "\x1e1", "z", 3), (4, "g", "a", "z", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_row string, _pattern int")
+    got = mixing.plan_mix(df, F.array("source")).collect()
+    assert {r["sources"][0] for r in got} == {"sa\x1fb", "sc", "s\x1e1", "sa"}
+    assert all(r["source_size"] == r["size"] for r in got) and all(r["taken"] <= 3 * r["size"] for r in got)
+    assert mixing.mix(df, F.array("source")).columns == df.columns
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "w " * 300_000, "a"), (2, "w " * 10, "a"), (3, "w " * 5, "b")]
+    got = {r["doc_id"]: r["size"] for r in mixing.plan_mix(frame(spark, rows), F.array("source")).collect()}
+    assert got == {1: 300_000, 2: 10, 3: 5}

@@ -14,7 +14,7 @@ from collections import defaultdict, deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, plain
+from vellum.llm.common import cut, plain, unused
 
 MAX_COPIES = 3
 #: Patterns that the driver may hold; their number is checked.
@@ -24,7 +24,7 @@ ORDERED_ROWS = 10_000
 #: A pattern that lacks more than this share of its flow gets up to so many further documents.
 FILL_SHARE, FILL_ROUNDS = 0.0005, 8
 _BITS = 10
-_NULL, _SET, _SEP = "n", "s", "\x1f"
+_NULL, _SET, _SEP, _ESCAPE = "n", "s", "\x1f", "\x1e"
 
 
 def word_count(text: Column | str) -> Column:
@@ -33,12 +33,21 @@ def word_count(text: Column | str) -> Column:
 
 
 def _token(source: Column) -> Column:
-    return F.when(source.isNull(), F.lit(_NULL)).otherwise(F.concat(F.lit(_SET), source.cast("string")))
+    """A source as part of a pattern; what parts two tokens stands in none of them."""
+    said = F.replace(source.cast("string"), F.lit(_ESCAPE), F.lit(_ESCAPE + "0"))
+    said = F.replace(said, F.lit(_SEP), F.lit(_ESCAPE + "1"))
+    return F.when(source.isNull(), F.lit(_NULL)).otherwise(F.concat(F.lit(_SET), said))
+
+
+def _unescaped(token: Column) -> Column:
+    """The token with its source as it was."""
+    return F.replace(F.replace(token, F.lit(_ESCAPE + "1"), F.lit(_SEP)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
 
 
 def weights_in_order(sources: list[str], cycle: tuple[float, ...] = (5, 2, 1)) -> dict[str, float]:
     """Weights by code point of the source, null last, in a repeating cycle."""
-    ordered = sorted(sources, key=lambda s: (s == _NULL, s))
+    plain_source = lambda s: s.replace(_ESCAPE + "1", _SEP).replace(_ESCAPE + "0", _ESCAPE)
+    ordered = sorted(sources, key=lambda s: (s == _NULL, plain_source(s)))
     return {s: cycle[i % len(cycle)] for i, s in enumerate(ordered)}
 
 
@@ -57,61 +66,91 @@ def targets(sizes: dict[str, int], weights: dict[str, float], cap: float = MAX_C
     return out
 
 
-def route(capacity: dict[tuple[str, ...], int], quota: dict[str, int], copies: int = MAX_COPIES):
-    """Words that flow through each pattern: {pattern: words}, by successive shortest paths.
-
-    The r-th copy of a pattern's words costs r(r-1)/2, so costs are convex, and an optimal flow
-    fills copies in order.
-    """
-    graph: list[list[list]] = []
-    node: dict = {}
+class _Network:
+    """A flow network on which more arcs can be laid while it already flows."""
+
+    def __init__(self):
+        self.arcs: list[list[int]] = []
+        self.node: dict = {}
+        self.ends: list[int] = []
+        self.room: list[int] = []
+
+    def at(self, name) -> int:
+        if name not in self.node:
+            self.node[name] = len(self.arcs)
+            self.arcs.append([])
+        return self.node[name]
+
+    def arc(self, a: int, b: int, room: int) -> int:
+        """Number of the new arc; the one against it has the next."""
+        self.arcs[a].append(len(self.ends))
+        self.arcs[b].append(len(self.ends) + 1)
+        self.ends += [b, a]
+        self.room += [room, 0]
+        return len(self.ends) - 2
+
+    def fill(self, start: int, end: int) -> None:
+        """Push as much as goes from start to end, by blocking flows over the nearest arcs."""
+        arcs, ends, room = self.arcs, self.ends, self.room
+        while True:
+            level = [-1] * len(arcs)
+            level[start] = 0
+            queue = deque([start])
+            while queue:
+                a = queue.popleft()
+                for e in arcs[a]:
+                    if room[e] and level[ends[e]] < 0:
+                        level[ends[e]] = level[a] + 1
+                        queue.append(ends[e])
+            if level[end] < 0:
+                return
+            next_arc, path, a = [0] * len(arcs), [], start
+            while True:
+                if a == end:
+                    most = min(room[e] for e in path)
+                    for e in path:
+                        room[e] -= most
+                        room[e ^ 1] += most
+                    full = next(i for i, e in enumerate(path) if not room[e])
+                    a = ends[path[full] ^ 1]
+                    del path[full:]
+                while next_arc[a] < len(arcs[a]):
+                    e = arcs[a][next_arc[a]]
+                    if room[e] and level[ends[e]] == level[a] + 1:
+                        break
+                    next_arc[a] += 1
+                if next_arc[a] < len(arcs[a]):
+                    e = arcs[a][next_arc[a]]
+                    path.append(e)
+                    a = ends[e]
+                elif path:
+                    level[a] = -1
+                    a = ends[path.pop() ^ 1]
+                else:
+                    break
 
-    def at(name) -> int:
-        if name not in node:
-            node[name] = len(graph)
-            graph.append([])
-        return node[name]
 
-    def arc(a: int, b: int, room: int, cost: int) -> None:
-        graph[a].append([b, room, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
+def route(capacity: dict[tuple[str, ...], int], quota: dict[str, int], copies: int = MAX_COPIES):
+    """Words that flow through each pattern of a cheapest of the largest flows: {pattern: words}.
 
-    start, end = at("start"), at("end")
+    The r-th copy of a pattern's words costs r(r-1)/2, so costs are convex. Only the arcs from
+    the start have a cost, and successive shortest paths, which never come back to the start,
+    use them from the cheapest to the dearest: the flow is filled with first copies alone, then
+    with second ones laid beside, and so on. Each filling is a largest flow.
+    """
+    net = _Network()
+    start, end = net.at("start"), net.at("end")
     for pattern, words in sorted(capacity.items()):
-        for r in range(1, copies + 1):
-            arc(start, at(("p", pattern)), words, r * (r - 1) // 2)
         for source in pattern:
-            arc(at(("p", pattern)), at(("s", source)), copies * words, 0)
+            net.arc(net.at(("p", pattern)), net.at(("s", source)), copies * words)
     for source, words in sorted(quota.items()):
-        arc(at(("s", source)), end, words, 0)
-    while True:
-        far, via, queue, queued = {start: 0}, {}, deque([start]), {start}
-        while queue:
-            a = queue.popleft()
-            queued.discard(a)
-            for i, (b, room, cost, _) in enumerate(graph[a]):
-                if room and far[a] + cost < far.get(b, 1 << 60):
-                    far[b], via[b] = far[a] + cost, (a, i)
-                    if b not in queued:
-                        queue.append(b)
-                        queued.add(b)
-        if end not in via:
-            break
-        b, most = end, 1 << 62
-        while b != start:
-            a, i = via[b]
-            most, b = min(most, graph[a][i][1]), a
-        b = end
-        while b != start:
-            a, i = via[b]
-            graph[a][i][1] -= most
-            graph[b][graph[a][i][3]][1] += most
-            b = a
-    out = defaultdict(int)
-    for pattern in capacity:
-        a = node[("p", pattern)]
-        out[pattern] = sum(graph[a][i][1] for i in range(len(graph[a])) if graph[a][i][0] == start)
-    return dict(out)
+        net.arc(net.at(("s", source)), end, words)
+    laid: dict = defaultdict(list)
+    for _ in range(copies):
+        for pattern, words in sorted(capacity.items()):
+            laid[pattern].append(net.arc(start, net.at(("p", pattern)), words))
+        net.fill(start, end)
+    return {pattern: sum(net.room[e ^ 1] for e in laid[pattern]) for pattern in capacity}
 
 
 def _digit(level: int) -> Column:
@@ -186,7 +225,7 @@ def plan_mix(
     return picked.select(
         *(carry or [id_col]),
         "size",
-        F.split("_pattern", _SEP).alias("sources"),
+        F.transform(F.split("_pattern", _SEP), _unescaped).alias("sources"),
         "source_size",
         "target",
         "copies",
@@ -284,11 +323,12 @@ def _pick(rows: DataFrame, state: dict[str, dict]) -> DataFrame:
 
 def mix(docs: DataFrame, membership: Column, **how) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as :func:`plan_mix` takes it."""
-    row = "_mix_row"
-    numbered = cut(docs.withColumn("_mix_members", membership).withColumn(row, F.monotonically_increasing_id()))
-    plan = plan_mix(numbered, F.col("_mix_members"), carry=[row], **how).where("copies > 0").select(row, F.col("copies").alias("_mix_copies"))
+    own = unused(docs.columns, "_mix_")
+    row, copies = own + "row", own + "copies"
+    numbered = cut(docs.withColumns({own + "members": membership, row: F.monotonically_increasing_id()}))
+    plan = plan_mix(numbered, F.col(own + "members"), carry=[row], **how).where("copies > 0").select(row, F.col("copies").alias(copies))
     return (
         numbered.join(plan, row)
-        .withColumn("_mix_copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
+        .withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
         .select(*docs.columns)
     )
