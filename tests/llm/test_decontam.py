@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,7 +67,28 @@ def test_equals_brute_force(spark):
 
 def test_a_large_test_set_is_searched_in_passes(spark):
     docs, items = case(2)
-    assert collected(decontam.find_contamination(*frames(spark, docs, items), table_bytes=100)) == brute(docs, items)
+    assert decontam.passes_for(100, 7, 2000) > 2
+    assert collected(decontam.find_contamination(*frames(spark, docs, items), table_bytes=2000)) == brute(docs, items)
+
+
+def test_tables_hold_about_what_is_reckoned():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
+    items = [(str(i), " ".join(rng.choice(words) for _ in range(60)).encode()) for i in range(1500)]
+    tracemalloc.start()
+    tables = decontam.Tables(items)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(tables.ids) == 1500
+    assert held < 1.3 * (decontam.WORD_BYTES * 90_000 + decontam.DISTINCT_BYTES * 3000)
+
+
+def test_clashing_columns_are_kept_apart(spark):
+    docs, items = case(5)
+    d = spark.createDataFrame([(a, b, "mine", 3) for a, b in docs], "doc_id long, text string, _searched_text string, n_hit int")
+    found = decontam.find_contamination(d, spark.createDataFrame(items, "item_id long, text string"))
+    assert collected(found) == brute(docs, items)
+    assert {r["_searched_text"] for r in found.collect()} == {"mine"}
 
 
 def test_empty_tables(spark):
@@ -76,7 +98,30 @@ def test_empty_tables(spark):
     assert decontam.find_contamination(d.limit(0), b).collect() == []
 
 
-def test_shifts_skip(spark):
-    table = decontam.WuManber({tuple(b"a b c d e f g h".split()): frozenset("1")})
-    assert table.shift[(b"g", b"h")] == 0 and table.shift[(b"a", b"b")] == 6 and table.jump == 7
-    assert [s for s, _ in table.search(b"x a b c d e f g h a b c d e f g h".split())] == [1, 9]
+def test_shifts_skip():
+    tables = decontam.Tables([("1", b"a b c d e f g h")])
+    (table,) = tables.searches
+    number = tables.vocabulary
+    block = lambda x, y: table.shift[decontam._mixed(number[x], number[y], table.bits)]
+    assert block(b"g", b"h") == 0 and block(b"a", b"b") <= 6 and table.jump == 7
+    looked = []
+
+    class Counted(list):
+        def __getitem__(self, at):
+            looked.append(at)
+            return super().__getitem__(at)
+
+    numbers = Counted(number.get(w) for w in b"x a b c d e f g h a b c d e f g h".split())
+    assert [s for s, _ in table.search(numbers)] == [1, 9]
+    looked.clear()
+    assert list(table.search(Counted([None] * 700))) == [] and len(looked) <= 2 * 100
+
+
+@given(st.lists(st.integers(0, 3), max_size=40), st.lists(st.lists(st.integers(0, 3), min_size=1, max_size=12), max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_search_finds_every_occurrence(text, items):
+    name = lambda ws: b" ".join(b"w%d" % w for w in ws)
+    found, hit = decontam.Tables([(str(i), name(w)) for i, w in enumerate(items)], 4).find(name(text).split())
+    windows = {(i, k) for i, w in enumerate(items) for n in [min(4, len(w))] for s in range(len(w) - n + 1) for k in range(len(text) - n + 1) if text[k : k + n] == w[s : s + n]}
+    assert found == {str(i) for i, _ in windows}
+    assert set(hit) == {(k, k + min(4, len(items[i]))) for i, k in windows}

@@ -8,18 +8,23 @@ are then compared in full.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellum.llm.common import cut, slices, unused
+
 WINDOW = 8
 BLOCK = 2
-#: Bytes of test text in one search table; a larger test set is searched in several passes.
-TABLE_BYTES = 32 << 20
+#: Bytes that one search table may hold in memory; a larger test set is searched in several
+#: passes, whose tables are not held at once.
+TABLE_BYTES = 128 << 20
+#: What is reckoned for a word of a test text, and for a distinct word of the vocabulary.
+WORD_BYTES, DISTINCT_BYTES = 48, 176
 
 _UPPER, _DIGIT, _LOWER = range(0x41, 0x5B), range(0x30, 0x3A), range(0x61, 0x7B)
 #: A-Z to a-z; bytes of digits, a-z and non-ASCII characters stay; any other byte parts words.
@@ -41,57 +46,115 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> Iterator[tuple[bytes,
             yield tuple(words[i : i + n])
 
 
+def _mixed(a, b, bits: int):
+    """A hash of two word numbers in ``bits`` bits, for whole numbers and arrays of them."""
+    return ((a * 0x9E3779B1 + b * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - bits)
+
+
 class WuManber:
-    """Search for many word sequences of one length."""
-
-    def __init__(self, patterns: dict[tuple[bytes, ...], frozenset[str]]):
-        self.length = len(next(iter(patterns)))
-        self.block = min(BLOCK, self.length)
-        self.jump = self.length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict[bytes, list]] = defaultdict(lambda: defaultdict(list))
-        for words, items in patterns.items():
-            for end in range(self.block, self.length + 1):
-                block = words[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.jump), self.length - end)
-            self.buckets[words[-self.block :]][words[0]].append((list(words), items))
-        self.buckets = {k: dict(v) for k, v in self.buckets.items()}
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, frozenset[str]]]:
-        """(start, items) of every occurrence, from left to right."""
-        shift, jump, m = self.shift.get, self.jump, self.length
-        at, n = m, len(words)
-        if self.block == 1:
-            while at <= n:
-                skip = shift((words[at - 1],), jump)
-                if skip:
-                    at += skip
-                    continue
-                yield from self._confirm(words, at)
-                at += 1
-            return
+    """Search for many word sequences of one length, over numbered words.
+
+    The shift table is an array over hashed blocks: where two blocks meet in one place, the
+    smaller shift stands. The windows lie in buckets by the hash of their last block; in a
+    bucket, first the first words are compared, then all. Nothing is held for a window but where
+    it starts and whose it is.
+    """
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, owners: np.ndarray, length: int):
+        self.length, self.block = length, min(BLOCK, length)
+        self.jump = length - self.block + 1
+        self.bits = min(30, max(4, (2 * len(starts)).bit_length()))
+        self.words = words
+        shift = np.full(1 << self.bits, self.jump, np.uint8)
+        for end in range(self.block, length + 1):
+            np.minimum.at(shift, self._block_at(starts + end), min(255, length - end))
+        last = self._block_at(starts + length)
+        order = np.lexsort((starts, last))
+        self.starts, self.owners = starts[order], owners[order]
+        self.first = words[self.starts]
+        self.bucket = np.searchsorted(last[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
+        self.shift = shift.tobytes()
+
+    def _block_at(self, ends: np.ndarray) -> np.ndarray:
+        b = self.words[ends - 1].astype(np.int64)
+        a = self.words[ends - 2].astype(np.int64) if self.block > 1 else np.zeros_like(b)
+        return _mixed(a, b, self.bits)
+
+    def search(self, words: list) -> Iterator[tuple[int, list[int]]]:
+        """(start, owners) of every occurrence, from left to right. Words are numbers of the
+        vocabulary, or None for any other word."""
+        shift, jump, bits, single = self.shift, self.jump, self.bits, self.block == 1
+        at, n = self.length, len(words)
         while at <= n:
-            skip = shift((words[at - 2], words[at - 1]), jump)
+            b = words[at - 1]
+            a = 0 if single else words[at - 2]
+            if a is None or b is None:
+                at += jump
+                continue
+            block = ((a * 0x9E3779B1 + b * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - bits)
+            skip = shift[block]
             if skip:
                 at += skip
                 continue
-            yield from self._confirm(words, at)
+            found = self._confirm(words, at, block)
+            if found:
+                yield at - self.length, found
             at += 1
 
-    def _confirm(self, words: list[bytes], end: int) -> Iterator[tuple[int, frozenset[str]]]:
-        start = end - self.length
-        for pattern, items in self.buckets[tuple(words[end - self.block : end])].get(words[start], ()):
-            if words[start:end] == pattern:
-                yield start, items
+    def _confirm(self, words: list, end: int, block: int) -> list[int]:
+        start, low, high = end - self.length, int(self.bucket[block]), int(self.bucket[block + 1])
+        first = words[start]
+        if first is None:
+            return []
+        out, text = [], words[start:end]
+        for i in np.flatnonzero(self.first[low:high] == first) + low:
+            at = int(self.starts[i])
+            if self.words[at : at + self.length].tolist() == text:
+                out.append(int(self.owners[i]))
+        return out
+
+
+class Tables:
+    """One search table for each window length that occurs, over one vocabulary."""
 
+    def __init__(self, items: Iterable[tuple[str | None, bytes | None]], size: int = WINDOW):
+        self.vocabulary: dict[bytes, int] = {}
+        self.ids: list[str | None] = []
+        number, flat, begin = self.vocabulary, [], [0]
+        for item_id, text in items:
+            words = words_of(text)
+            self.ids.append(item_id)
+            flat.append(np.array([number.setdefault(w, len(number) + 1) for w in words], np.int32))
+            begin.append(begin[-1] + len(words))
+        words = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        counts = np.diff(begin)
+        length = np.minimum(counts, size)
+        self.searches = []
+        for n in sorted({int(x) for x in length if x}):
+            owners = np.flatnonzero(length == n)
+            windows = counts[owners] - n + 1
+            starts = np.concatenate([np.arange(begin[o], begin[o] + w) for o, w in zip(owners, windows)])
+            self.searches.append(WuManber(words, starts.astype(np.int64), np.repeat(owners, windows).astype(np.int32), n))
 
-def build(items: Iterable[tuple[str | None, bytes | None]], size: int = WINDOW) -> list[WuManber]:
-    """One search table for each window length that occurs."""
-    by_length: dict[int, dict] = defaultdict(lambda: defaultdict(set))
-    for item_id, text in items:
-        for window in windows_of(words_of(text), size):
-            by_length[len(window)][window].update(() if item_id is None else (item_id,))
-    return [WuManber({w: frozenset(i) for w, i in found.items()}) for _, found in sorted(by_length.items())]
+    def find(self, words: list[bytes]) -> tuple[set[str], list[tuple[int, int]]]:
+        """(ids of the items with an occurring window, word ranges that occurrences cover)."""
+        found, hit = set(), []
+        numbers = [self.vocabulary.get(w) for w in words]
+        for table in self.searches:
+            for start, owners in table.search(numbers):
+                found.update(owners)
+                hit.append((start, start + table.length))
+        return {self.ids[o] for o in found if self.ids[o] is not None}, hit
+
+
+def passes_for(words: int, distinct: int, table_bytes: int) -> int:
+    """How many tables keep each within its bytes, whichever of the words each gets."""
+    passes = 1
+    while True:
+        part = -(-words // passes)
+        if WORD_BYTES * part + DISTINCT_BYTES * min(distinct, part) <= table_bytes or part <= 1:
+            return passes
+        passes += 1
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -125,12 +188,14 @@ def find_contamination(
     are judged alike; an item with a null id is searched for, but not counted as an item;
     repeated items count once; an empty test set hits nothing.
 
-    Rows never leave their partition. The test set is read in tables of ``table_bytes`` at most,
-    whose sizes are summed beforehand, and the rows pass one search for each table.
+    Rows never leave their partition. The words and distinct words of the test set are counted
+    beforehand; items are dealt by hash to so many tables that each holds ``table_bytes`` at
+    most (an item longer than that makes a table of its own size). Each table is broadcast once,
+    and between two tables the rows are written, so that only one is held at a time.
     """
     new = ["n_words", "n_hit", "spans", "items", "contaminated"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    hidden = "_searched_text"
+    spark, hidden = docs.sparkSession, unused(docs.columns, "_searched_text")
     state = docs.select(*keep, F.col(text_col).alias(hidden)).withColumns(
         {
             "n_words": F.lit(0).cast("long"),
@@ -139,38 +204,40 @@ def find_contamination(
             "items": F.array().cast("array<string>"),
         }
     )
-    tests = benchmark.select(
-        F.col(item_col).cast("string").alias("i"), F.col(item_text_col).cast("binary").alias("t")
-    ).where("t is not null")
-    total = tests.agg(F.sum(F.length("t"))).first()[0] or 0
-    passes = max(1, -(-total // table_bytes))
+    tests = (
+        benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text_col).cast("string").alias("t"))
+        .where("t is not null")
+        .distinct()
+    )
+    word = F.explode(F.regexp_extract_all("t", F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)")))
+    counted = tests.select(word.alias("w")).groupBy("w").agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("*")).first()
+    passes = passes_for(counted[0] or 0, counted[1], table_bytes)
     lot = F.pmod(F.xxhash64("i", "t"), F.lit(passes))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in state.schema])
     for number in range(passes):
-        part = tests.where(lot == number) if passes > 1 else tests
-        tables = build((r["i"], bytes(r["t"])) for r in part.toLocalIterator())
+        part = (tests.where(lot == number) if passes > 1 else tests).select("i", F.col("t").cast("binary").alias("t"))
+        tables = spark.sparkContext.broadcast(Tables(((r["i"], bytes(r["t"])) for r in part.toLocalIterator()), size))
         state = state.mapInArrow(_searcher(tables, hidden), schema)
+        if number + 1 < passes:
+            state = cut(state)
     return state.drop(hidden).withColumn("contaminated", F.size("items") >= min_items)
 
 
-def _searcher(tables: list[WuManber], text_col: str):
+def _searcher(tables, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        find = tables.value.find
+        for batch in slices(batches):
             cols = {n: batch.column(n) for n in batch.schema.names}
             n_words, n_hit, spans, items = [], [], [], []
             before = zip(cols["spans"].to_pylist(), cols["items"].to_pylist(), strict=True)
             for text, (old, seen) in zip(cols[text_col].cast(pa.large_binary()), before, strict=True):
                 words = words_of(text.as_py())
-                found, hit = set(seen), [(s["a"], s["b"]) for s in old]
-                for table in tables:
-                    for start, who in table.search(words):
-                        found |= who
-                        hit.append((start, start + table.length))
-                hit = _merged(hit)
+                found, hit = find(words)
+                hit = _merged(hit + [(s["a"], s["b"]) for s in old])
                 n_words.append(len(words))
                 n_hit.append(sum(b - a for a, b in hit))
                 spans.append([{"a": a, "b": b} for a, b in hit])
-                items.append(sorted(found))
+                items.append(sorted(found.union(seen)))
             cols |= {
                 "n_words": pa.array(n_words, pa.int64()),
                 "n_hit": pa.array(n_hit, pa.int64()),
