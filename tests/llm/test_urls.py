@@ -55,5 +55,15 @@ def test_no_python_in_the_plan(spark, model):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_clashing_columns_and_repeated_rows(spark, model):
+    rows = [("http://a.org/x", "mine", 1, 2, "no")] * 3
+    df = spark.createDataFrame(rows, "url string, _host string, _path_codes int, _URL_score int, score string")
+    judged = urls.judge_urls(df, model=model)
+    assert set(judged.columns) == {*df.columns, "host", "path", "rule", "verdict"}
+    got = judged.collect()
+    assert len(got) == 3 and all((r["_host"], r["_path_codes"], r["_URL_score"], r["host"]) == ("mine", 1, 2, "a.org") for r in got)
+    assert len({tuple(r) for r in got}) == 1
+
+
 def test_no_pages(spark, model):
     assert urls.judge_urls(spark.createDataFrame([], "url string"), model=model).collect() == []

@@ -7,12 +7,15 @@ arithmetic and the same wherever it is computed.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm.common import unused
+
 # The rules (verdict, host and path prefix) of the registered query.
 RULES = (
     ("allow", "org/"),
@@ -22,88 +25,36 @@ RULES = (
     ("block", "com/de/"),
 )
 
-# The labelled URL table. 1: unwanted.
-LABELLED_URLS = (
-    ("https://www.casino-royal.test/play", 1),
-    ("http://casino-win.test/en/1", 1),
-    ("http://m.casino-win.test/en/12.html", 1),
-    ("https://best-casino-online.test/bonus", 1),
-    ("http://online-slots.test/spin", 1),
-    ("https://free-bets.test/en/77#top", 1),
-    ("http://blog.free-bets.test/fr/9", 1),
-    ("https://sports-betting-tips.test/odds", 1),
-    ("http://betting-odds.test/en/5/", 1),
-    ("https://poker-win-now.test/table", 1),
-    ("https://jackpot-free-spins.test/", 1),
-    ("http://cheap-pills.test/de/4.html", 1),
-    ("https://www.cheap-pills.test/en/3", 1),
-    ("https://buy-cheap-meds.test/pills", 1),
-    ("http://pills-no-prescription.test/order", 1),
-    ("https://discount-viagra.test/buy", 1),
-    ("http://weight-loss-pills.test/en/2", 1),
-    ("https://xxx-videos.test/watch", 1),
-    ("http://adult-cams-live.test/en/8", 1),
-    ("https://hot-singles.test/chat", 1),
-    ("http://porn-tube.test/en/6?page=2", 1),
-    ("https://payday-loans-fast.test/apply", 1),
-    ("http://fast-cash-loans.test/en/1", 1),
-    ("https://replica-watches-shop.test/sale", 1),
-    ("http://win-free-iphone.test/claim", 1),
-    ("https://crypto-double-money.test/invest", 1),
-    ("http://get-rich-quick.test/now", 1),
-    ("https://malware-download.test/setup.exe", 1),
-    ("http://free-warez-cracks.test/keygen", 1),
-    ("https://casino-slots-bonus.test/win", 1),
-    ("http://www.grand-casino.test/en/4", 1),
-    ("https://ads-server.test/track", 1),
-    ("http://click-track-ads.test/pixel", 1),
-    ("https://adult-chat.test/rooms", 1),
-    ("http://m.adult-films.test/en/6", 1),
-    ("https://torrent-cracks.test/en/3", 1),
-    ("https://www.library.test/catalogue", 0),
-    ("http://library.test/en/1", 0),
-    ("https://news.test/world/article-12.html", 0),
-    ("http://www.dailynews.test/en/44?page=2&ref=x", 0),
-    ("https://en.encyclopedia.test/wiki/History", 0),
-    ("https://university.test/physics/course/3", 0),
-    ("http://research.institute.test/papers/9", 0),
-    ("https://blog.gardening.test/fr/12", 0),
-    ("http://m.weather.test/en/77/", 0),
-    ("https://recipes.test/de/4.html", 0),
-    ("https://www.museum.test/en/3", 0),
-    ("http://museum.test/es/8#top", 0),
-    ("https://docs.software.test/en/2", 0),
-    ("http://forum.software.test/thread/5", 0),
-    ("https://health.clinic.test/advice", 0),
-    ("http://www.hospital.test/en/6", 0),
-    ("https://travel.test/fr/9?utm_source=feed", 0),
-    ("http://maps.travel.test/en/5", 0),
-    ("https://theatre.test/programme", 0),
-    ("http://m.theatre.test/en/12.html", 0),
-    ("https://music.school.test/lessons", 0),
-    ("http://www.school.test/de/1", 0),
-    ("https://science.journal.test/volume/3", 0),
-    ("http://blog.journal.test/en/7?page=2", 0),
-    ("https://city.council.test/minutes", 0),
-    ("http://parks.city.test/en/8/", 0),
-    ("https://history.archive.test/1900", 0),
-    ("http://archive.test/fr/6", 0),
-    ("https://open.source.test/project", 0),
-    ("http://code.source.test/en/4", 0),
-    ("https://sports.club.test/results", 0),
-    ("http://www.chess.club.test/en/2.html", 0),
-    ("https://garden.plants.test/roses", 0),
-    ("http://tionthe.test/en/3", 0),
-    ("https://www.therhea.test/fr/5#top", 0),
-    ("http://blog.ingtion.test/de/7", 0),
-    ("https://m.aterher.test/en/9/", 0),
-    ("http://onther.test/es/11.html", 0),
-    ("https://andthes.test/en/13?page=2&ref=x", 0),
-    ("http://www.erblein.test/en/15", 0),
+# The labelled URL table: words that stand in hosts of unwanted pages and of wanted ones, as
+# they are met on the open web. 1: unwanted.
+_UNWANTED = (
+    "casino", "onlinecasino", "casinoroyale", "roulette", "slots", "jackpot", "poker", "betting", "sportsbet", "freebet",
+    "freespins", "bookmaker", "pills", "pillstore", "viagra", "cialis", "nopharmacy", "cheapmeds", "dietpills", "steroids",
+    "xxx", "porn", "sexcam", "adultvideo", "nudes", "escort", "hotsingles", "payday", "fastcash", "quickloan",
+    "badcredit", "replica", "fakewatches", "freeiphone", "winprize", "lottery", "getrich", "doublebitcoin", "cryptoprofit", "malware",
+    "warez", "crack", "keygen", "torrent", "serials", "spyware", "clickads", "adtracker", "popunder", "adserver",
+)
+_WANTED = (
+    "library", "university", "school", "college", "museum", "theatre", "gallery", "orchestra", "archive", "history",
+    "encyclopedia", "dictionary", "science", "research", "institute", "journal", "physics", "biology", "medicine", "hospital",
+    "clinic", "health", "news", "dailynews", "weather", "radio", "council", "city", "government", "parliament",
+    "court", "police", "travel", "maps", "railway", "airport", "recipes", "kitchen", "garden", "farming",
+    "football", "chess", "club", "community", "forum", "software", "opensource", "developer", "books", "publisher",
+    "reader", "photo", "music", "film", "nature", "ocean", "forest", "energy", "engineer", "builder",
+    "market", "bank", "insurance", "shop", "furniture", "bicycle", "church", "charity", "foundation", "family",
+)
+_FORMS = ("https://{}.test", "http://www.the-{}.test", "http://{}-site.test", "https://my{}24.test")
+_UNWANTED_PATHS = ("/win/bonus", "/free-spins", "/order-pills", "/watch/xxx", "/claim-prize", "/apply-loan", "/crack.exe")
+_WANTED_PATHS = ("/about", "/article/history", "/catalogue", "/course/notes", "/minutes.pdf", "/wiki/Main_Page", "/contact")
+LABELLED_URLS = tuple(
+    (form.format(word) + paths[(i + k) % len(paths)], label)
+    for words, paths, label in ((_UNWANTED, _UNWANTED_PATHS, 1), (_WANTED, _WANTED_PATHS, 0))
+    for i, word in enumerate(words)
+    for k, form in enumerate(_FORMS)
 )
 
 #: Paths that say nothing about a page: every labelled host is also seen with each of them.
-NEUTRAL_PATHS = ("", "/", "/en/1", "/de/2.html", "/fr/3/", "/es/45", "/en/678")
+NEUTRAL_PATHS = ("", "/index.html", "/page/2")
 #: Added to the log-odds: unwanted pages are rarer in the wild than in the table, and a host of
 #: which nothing is known is allowed.
 PRIOR_SHIFT = -1.0
@@ -165,20 +116,26 @@ def _parts(url: str) -> tuple[str, str]:
     return rest[:cut].lower(), path[: min((path.index(c) for c in "?#" if c in path), default=len(path))]
 
 
-def train(labelled=LABELLED_URLS, rounds: int = 600, rate: float = 0.5, l2: float = 2e-3) -> UrlModel:
-    """Fit the regression by full-batch gradient steps; same table, same model."""
+@functools.cache
+def train(labelled=LABELLED_URLS, rounds: int = 250, rate: float = 0.5, l2: float = 2e-3) -> UrlModel:
+    """Fit the regression by full-batch gradient steps; same table, same model, fitted once."""
     seen = [(_parts(url), label) for url, label in labelled]
     seen += [((host, path), label) for (host, _), label in seen for path in NEUTRAL_PATHS]
-    x = np.zeros((len(seen), BUCKETS))
-    y = np.array([label for _, label in seen], float)
-    for row, ((host, path), _) in enumerate(seen):
-        for b in _bucket_list(host, "host") + _bucket_list(path, "path"):
-            x[row, b] += 1
-    w, bias = np.zeros(BUCKETS), 0.0
+    found = [_bucket_list(host, "host") + _bucket_list(path, "path") for (host, path), _ in seen]
+    used = sorted({b for buckets in found for b in buckets})
+    place = {b: i for i, b in enumerate(used)}
+    x = np.zeros((len(seen), len(used)), np.float32)
+    y = np.array([label for _, label in seen], np.float32)
+    for row, buckets in enumerate(found):
+        for b in buckets:
+            x[row, place[b]] += 1
+    fitted, bias = np.zeros(len(used), np.float32), 0.0
     for _ in range(rounds):
-        miss = 1 / (1 + np.exp(-(x @ w + bias))) - y
-        w -= rate * (x.T @ miss / len(y) + l2 * w)
-        bias -= rate * miss.mean()
+        miss = 1 / (1 + np.exp(-(x @ fitted + np.float32(bias)))) - y
+        fitted -= rate * (x.T @ miss / len(y) + l2 * fitted)
+        bias -= rate * float(miss.mean())
+    w = np.zeros(BUCKETS)
+    w[used] = fitted
     return UrlModel(tuple(int(v) for v in np.rint(w * SCALE)), round((bias + PRIOR_SHIFT) * SCALE))
 
 
@@ -212,25 +169,24 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, model: UrlMo
     replaced; repeated rows are judged alike; rows are neither added nor lost.
     """
     model = model or train()
-    weights = F.lit(list(model.weights)).cast("array<bigint>")
+    # one literal, turned into an array once while the plan is made
+    weights = F.split(F.lit(",".join(map(str, model.weights))), ",").cast("array<bigint>")
+    own = unused(pages.columns, "_url_")
     host, path = split_url(F.col(url_col))
-    parted = pages.withColumn("_host", host).withColumn("_path", path)
+    parted = pages.withColumns({own + "host": host, own + "path": path})
+    h, p = F.col(own + "host"), F.col(own + "path")
     for kind in SALTS:
-        text = F.concat(F.lit(EDGES[0]), F.col(f"_{kind}"), F.lit(EDGES[1]))
+        text = F.concat(F.lit(EDGES[0]), F.col(own + kind), F.lit(EDGES[1]))
         found = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-        parted = parted.withColumn(f"_{kind}_codes", F.transform(found, lambda c: F.ascii(c).cast("long")))
-    h, p = F.col("_host"), F.col("_path")
+        parted = parted.withColumn(f"{own}{kind}_codes", F.transform(found, lambda c: F.ascii(c).cast("long")))
     rule, said = match_rule(h, p, rules)
-    score = _part_score(F.col("_host_codes"), "host", weights) + _part_score(F.col("_path_codes"), "path", weights) + F.lit(model.bias).cast("long")
-    judged = F.coalesce(said, F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow")))
-    return (
-        parted.withColumn("host", h)
-        .withColumn("path", p)
-        .withColumn("rule", rule)
-        .withColumn("score", score)
-        .withColumn("verdict", judged)
-        .drop("_host", "_path", "_host_codes", "_path_codes")
-    )
+    score = F.lit(model.bias).cast("long")
+    for kind in SALTS:
+        score = score + _part_score(F.col(f"{own}{kind}_codes"), kind, weights)
+    parted = parted.withColumns({own + "score": score, own + "rule": rule, own + "said": said})
+    judged = F.coalesce(own + "said", F.when(F.col(own + "score") > 0, F.lit("block")).otherwise(F.lit("allow")))
+    new = {"host": h, "path": p, "rule": F.col(own + "rule"), "score": F.col(own + "score"), "verdict": judged}
+    return parted.withColumns(new).drop(*(c for c in parted.columns if c.startswith(own)))
 
 
 def oracle(model: UrlModel | None = None, rules=RULES) -> str:
