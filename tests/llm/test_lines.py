@@ -8,8 +8,6 @@ from vellum.llm import lines
 def distance_at_most_one(a, b):
     if a == b:
         return True
-    if min(len(a), len(b)) < lines.MIN_NEAR_CHARS:
-        return False
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b)) == 1
     if abs(len(a) - len(b)) != 1:
@@ -22,10 +20,10 @@ def distance_at_most_one(a, b):
 
 def rows_with_edits(seed):
     rng = random.Random(seed)
-    base = ["".join(rng.choice("ab cdé😀") for _ in range(rng.choice([3, 19, 20, 21, 40, 70, 300]))) for _ in range(25)]
+    base = ["".join(rng.choice("ab cdé😀") for _ in range(rng.choice([1, 2, 3, 19, 20, 21, 40, 70, 300]))) for _ in range(25)]
 
     def edit(x):
-        i, k = rng.randrange(len(x)), rng.random()
+        i, k = rng.randrange(max(1, len(x))), rng.random()
         return x[:i] + rng.choice("abz") + x[i + 1 :] if k < 0.4 else x[:i] + x[i + 1 :] if k < 0.7 else x[:i] + "z" + x[i:]
 
     rows = []
@@ -78,6 +76,17 @@ def test_repeated_rows_and_nothing(spark):
     assert lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_clashing_columns_and_short_lines(spark):
+    rows = [(1, "ab\nx", "i", "t", 1), (2, "ac\ny\nlonger\nab", "i", "t", 2), (3, "abc", "i", "t", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _text string, _hash int")
+    near = lines.dedup_lines(df)
+    assert near.columns[:5] == df.columns
+    got = {r["doc_id"]: (r["deduped"], r["n_removed"], r["n_near"], r["_id"]) for r in near.collect()}
+    assert got == {1: ("ab\nx", 0, 0, "i"), 2: ("longer", 3, 2, "i"), 3: ("", 1, 1, "i")}
+    equal = {r["doc_id"]: r["deduped"] for r in lines.dedup_lines(df, min_near_chars=20).collect()}
+    assert equal == {1: "ab\nx", 2: "ac\ny\nlonger", 3: "abc"}
+
+
 def test_other_bounds_are_refused(spark):
     with pytest.raises(ValueError):
         lines.find_duplicate_lines(spark.createDataFrame([], "doc_id long, text string"), 2)

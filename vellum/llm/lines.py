@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import cut, plain
 
-#: Shorter lines are only compared for equality: one edit changes too much of them.
-MIN_NEAR_CHARS = 20
 _LEAST_BLOCK = 16
 #: Line hashes that may be broadcast; more are shuffled.
 BROADCAST_HASHES = 1_000_000
@@ -41,7 +39,7 @@ def _position(prefix: str = "") -> Column:
     return F.struct(*(F.col(prefix + c) for c in _POS))
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, near: bool) -> DataFrame:
+def line_table(docs: DataFrame, id_col: str, text_col: str, near: bool, min_near_chars: int = 0) -> DataFrame:
     """One row for each line that is not blank: its place, its hashes and its half keys."""
     rows = docs.select(
         F.col(id_col).isNull().alias("_no_id"),
@@ -50,7 +48,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, near: bool) -> DataF
         F.posexplode(F.split(plain(text_col), "\n", -1)).alias("_line", "text"),
     ).where(F.col("text").rlike(r"\S"))
     n = F.char_length("text")
-    keys = F.when(n >= MIN_NEAR_CHARS, _half_keys(F.col("text"), n)) if near else F.lit(None).cast("array<bigint>")
+    keys = F.when(n >= min_near_chars, _half_keys(F.col("text"), n)) if near else F.lit(None).cast("array<bigint>")
     return rows.select(
         *_POS, F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), keys.alias("keys")
     )
@@ -113,20 +111,20 @@ def _variants(lines: DataFrame) -> DataFrame:
 
 
 def find_duplicate_lines(
-    docs: DataFrame, max_edits: int = 1, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, max_edits: int = 1, id_col: str = "doc_id", text_col: str = "text", min_near_chars: int = 0
 ) -> DataFrame:
     """Every line that an earlier line equals, or comes within ``max_edits`` (0 or 1) of.
 
     Earlier: of a smaller document id (null last, then by hash of the text), or higher up in the
     same document. Returns the places ``_no_id, _id, _hash, _line`` (from 0) of such lines, the
     place ``first`` of the earliest line they match, and ``edits`` (0 or 1). Blank lines never
-    match. Lines under MIN_NEAR_CHARS characters are compared for equality only. Lines are
-    judged on the input: what an earlier line matches itself does not matter. Rows that agree in
+    match. Lines under ``min_near_chars`` characters (none, unless asked for) are compared for
+    equality only. Lines are judged on the input: what an earlier line matches itself does not matter. Rows that agree in
     id and text are taken as one document.
     """
     if max_edits not in (0, 1):
         raise ValueError("the edit bound is 0 or 1")
-    lines = cut(line_table(docs, id_col, text_col, max_edits > 0))
+    lines = cut(line_table(docs, id_col, text_col, max_edits > 0, min_near_chars))
     distinct = lines.groupBy("h1", "h2").agg(F.min(_position()).alias("own"), F.count("*").alias("n"))
     found = distinct.where("n > 1").select("h1", "h2", F.col("own").alias("first"), F.lit(0).alias("edits"))
     if max_edits:
@@ -185,7 +183,12 @@ def _near(docs: DataFrame, lines: DataFrame, distinct: DataFrame, id_col: str, t
 
 
 def dedup_lines(
-    docs: DataFrame, max_edits: int = 1, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
+    docs: DataFrame,
+    max_edits: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: list[str] | None = None,
+    min_near_chars: int = 0,
 ) -> DataFrame:
     """Remove the lines of :func:`find_duplicate_lines` from every text.
 
@@ -197,19 +200,25 @@ def dedup_lines(
     new = ["deduped", "n_lines", "n_removed", "n_near"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in new]
     gone = (
-        find_duplicate_lines(docs, max_edits, id_col, text_col)
+        find_duplicate_lines(docs, max_edits, id_col, text_col, min_near_chars)
         .groupBy("_id", "_hash")
         .agg(F.collect_set("_line").alias("_gone"), F.sum("edits").alias("n_near"), F.count("*").alias("_times"))
         .select(F.col("_id").alias("_gone_id"), F.col("_hash").alias("_gone_hash"), "_gone", (F.col("n_near") * F.size("_gone") / F.col("_times")).cast("long").alias("n_near"))
     )
-    rows = docs.select(*keep, F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_hash"))
+    # the kept columns go by number, so that none of their names can clash with those used here
+    rows = docs.select(
+        *(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)),
+        F.col(id_col).alias("_id"),
+        F.col(text_col).alias("_text"),
+        F.xxhash64(text_col).alias("_hash"),
+    )
     joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash")), "left")
     lines = F.split("_text", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     return (
         joined.withColumn("_lines", lines)
         .select(
-            *keep,
+            *(F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)),
             F.when(F.col("_gone").isNull(), F.col("_text"))
             .otherwise(F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
             .alias("deduped"),
@@ -220,7 +229,7 @@ def dedup_lines(
     )
 
 
-ORACLE = f"""
+ORACLE = """
 WITH l AS (
   SELECT doc_id, i AS line_no, ls[i] AS line, doc_id * 1000000 + i AS pos
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents) AS d,
@@ -230,7 +239,7 @@ WITH l AS (
   WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY line
 ), k AS (
   SELECT line, n, own, m, left(line, (m // 2)::BIGINT) AS head, right(line, (m - m // 2)::BIGINT) AS tail
-  FROM f, LATERAL unnest([n, n - 1]) AS u(m) WHERE n >= {MIN_NEAR_CHARS}
+  FROM f, LATERAL unnest([n, n - 1]) AS u(m)
 ), c AS (
   SELECT a.line AS line, b.line AS other, a.n AS n, b.n AS other_n, b.own AS own
   FROM k a JOIN k b ON a.m = b.m AND a.head = b.head AND b.own < a.own
