@@ -30,6 +30,8 @@ PLACES = 128
 DEPTH, DEEPER, MAX_DEPTH = 2, 2, 6
 #: Sets that are compared outright in a bucket, and in a block of a verified cluster.
 BUCKET_ROWS, CLUSTER_ROWS = 256, 256
+#: Edges in one written file while components are sought.
+FILE_EDGES = 1 << 20
 #: Standard deviations below the threshold at which signatures still count as alike.
 MARGIN = 5.0
 _WORD = re.compile(r"\w+")
@@ -235,7 +237,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(v, root) for every end of an edge; the root is the smallest id of the component.
 
     Alternates two rewritings until nothing changes: every vertex hands the smallest vertex it
-    knows to its larger neighbours, then to its smaller ones. Only sums come to the driver.
+    knows to its larger neighbours, then to its smaller ones. Only sums come to the driver. The
+    tables of a round are written in as many files as their rows ask for, not one for each
+    shuffle partition: a round over few edges would else be spent on opening files.
     """
     now = cut(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("w")).where("u <> w").distinct()
@@ -246,12 +250,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if state == seen or not state[0]:
             break
         seen = state
+        files = max(8, -(-state[0] // FILE_EDGES))
+        few = lambda df: cut(df.coalesce(files))  # noqa: E731, B023
         both = now.unionByName(now.select(F.col("w").alias("u"), F.col("u").alias("w")))
         # minima are written first, so that the joins read plain exchanges and a hub can be split
-        least = cut(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("m", "u").alias("m")))
+        least = few(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("m", "u").alias("m")))
         large = both.join(least, "u").where("w > u").select(F.col("w").alias("u"), F.col("m").alias("w")).where("u <> w").distinct()
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("w").alias("m")))
+        large = few(large)
+        low = few(large.groupBy("u").agg(F.min("w").alias("m")))
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("w").alias("u"), F.col("m").alias("w")), F.struct("u", F.col("m").alias("w")))).alias("e"))
@@ -259,7 +265,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .where("u <> w")
             .distinct()
         )
-        after = cut(small)
+        after = few(small)
         drop_cut(now, least, large, low)
         now = after
     roots = now.groupBy("u").agg(F.min("w").alias("root")).select(F.col("u").alias("v"), "root")
