@@ -125,9 +125,35 @@ def test_longest_previous_factor(text):
 def test_suffix_ranks(text, length):
     if not text:
         return
-    rank = substrings.suffix_ranks(np.frombuffer(text, np.uint8), length)
+    levels = substrings.suffix_levels(np.frombuffer(text, np.uint8), length)
+    rank = levels[-1][1]
     inside = range(max(0, len(text) - length + 1))
     for i in inside:
         for j in inside:
             assert (rank[i] == rank[j]) == (text[i : i + length] == text[j : j + length])
             assert (rank[i] < rank[j]) == (text[i : i + length] < text[j : j + length])
+
+
+@given(st.text("ab", min_size=2, max_size=120), st.integers(1, 40))
+@settings(max_examples=150, deadline=None)
+def test_common_prefixes(text, length):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    levels = substrings.suffix_levels(raw, length)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(raw)), np.arange(len(raw))))
+    a, b = a[a != b], b[a != b]
+    for i, j, n in zip(a, b, substrings.common_prefixes(raw, levels, a, b)):
+        x, y = text[i:], text[j:]
+        want = next((k for k in range(min(len(x), len(y))) if x[k] != y[k]), min(len(x), len(y)))
+        assert n == min(want, length)
+
+
+@given(st.lists(st.text("ab", max_size=30), max_size=5), st.integers(1, 9))
+@settings(max_examples=150, deadline=None)
+def test_repeated_starts(parts, length):
+    raw = [p.encode() for p in parts]
+    (part, offset), again, earlier = substrings.repeated_starts(raw, length)
+    starts = [(i, o) for i, p in enumerate(raw) for o in range(len(p) - length + 1)]
+    assert list(zip(part.tolist(), offset.tolist())) == starts
+    string = [raw[i][o : o + length] for i, o in starts]
+    assert again.tolist() == [string.count(s) > 1 for s in string]
+    assert earlier.tolist() == [s in string[:k] for k, s in enumerate(string)]

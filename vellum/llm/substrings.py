@@ -7,6 +7,10 @@ if the minimisers of their pieces are. Pieces whose minimiser occurs once are ou
 pieces are counted, and only the different pieces around one minimiser meet in a suffix array.
 There the longest previous factor of a position tells whether its string starts earlier, and
 where: the nearest smaller positions before and after it in suffix order are the candidates.
+
+Pieces count as equal if two 64-bit hashes agree, of the piece and of its minimiser; as pieces
+only meet those of their own minimiser, a billion pieces around one of them would agree by chance
+with odds of one in 37.
 """
 
 from __future__ import annotations
@@ -73,8 +77,9 @@ def pieces(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tupl
                 yield m, p - (1 << 63), block + a, n
 
 
-def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each position by the ``length`` bytes from it on; equal strings share a rank.
+def suffix_levels(text: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(bytes, ranks): the rank of each position by so many bytes from it on, for 8, 16, ... and
+    last ``length`` bytes; equal strings share a rank.
 
     Prefix doubling: ranks of twice as many bytes come from sorting pairs of ranks.
     """
@@ -84,15 +89,34 @@ def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
     words = np.zeros(n, np.uint64)
     for k in range(min(8, length)):
         words |= padded[k : k + n].astype(np.uint64) << np.uint64(56 - 8 * k)
-    rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
-    size = min(8, length)
+    size, rank = min(8, length), np.unique(words, return_inverse=True)[1].astype(np.int64)
+    levels = [(size, rank)]
     while size < length:
         step = min(size, length - size)
         behind = np.zeros(n, np.int64)
         behind[: max(0, n - step)] = rank[step:] + 1
         rank = np.unique(rank * (n + 2) + behind, return_inverse=True)[1].astype(np.int64)
         size += step
-    return rank
+        levels.append((size, rank))
+    return levels
+
+
+def common_prefixes(text: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the suffixes at a and b begin with in common, up to the length of the levels."""
+    n, most = len(text), levels[-1][0]
+    room = np.minimum(most, n - np.maximum(a, b))
+    out = np.zeros(len(a), np.int64)
+    for size, rank in reversed(levels):
+        fits = np.flatnonzero(out + size <= room)
+        same = rank[a[fits] + out[fits]] == rank[b[fits] + out[fits]]
+        out[fits[same]] += size
+    for _ in range(levels[0][0]):
+        fits = np.flatnonzero(out < room)
+        same = text[a[fits] + out[fits]] == text[b[fits] + out[fits]]
+        if not same.any():
+            break
+        out[fits[same]] += 1
+    return out
 
 
 def longest_previous_factor(order: list[int], lcp: list[int]) -> tuple[list[int], list[int]]:
@@ -130,23 +154,27 @@ def repeated_starts(parts: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     ``starts``: (part, offset) of each string of ``length`` bytes; ``again``: it also starts
     elsewhere; ``earlier``: it also starts earlier.
     """
-    sizes = np.array([len(p) for p in parts])
+    sizes = np.array([len(p) for p in parts], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     text = np.frombuffer(b"".join(parts), np.uint8)
     counts = np.maximum(0, sizes - length + 1)
     part = np.repeat(np.arange(len(parts)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    rank = suffix_ranks(text, length)[begin[part] + offset] if len(part) else np.zeros(0, np.int64)
-    order = np.argsort(rank, kind="stable")
-    same = np.concatenate([[False], rank[order[1:]] == rank[order[:-1]]]) if len(order) else np.zeros(0, bool)
-    # suffixes without an equal neighbour have no factor of the length: the rest is looked at
-    near = same | np.append(same[1:], False)
     again, earlier = np.zeros(len(part), bool), np.zeros(len(part), bool)
+    if not len(part):
+        return np.stack([part, offset]), again, earlier
+    levels = suffix_levels(text, length)
+    place = begin[part] + offset
+    order = np.argsort(levels[-1][1][place], kind="stable")
+    lcp = np.append(0, common_prefixes(text, levels, place[order[:-1]], place[order[1:]]))
+    # a factor of the length lies between ranks that all have it in common: the list in suffix
+    # order falls apart where neighbours have less, and ranks without a neighbour are left out
+    near = (lcp >= length) | np.append(lcp[1:] >= length, False)
     left = order[near]
     if len(left):
         at = np.sort(left)
         dense = np.searchsorted(at, left)
-        found, source = longest_previous_factor(dense.tolist(), (same[near] * length).tolist())
+        found, source = longest_previous_factor(dense.tolist(), lcp[near].tolist())
         found, source = np.array(found), np.array(source)
         late = found >= length
         earlier[at[late]] = again[at[late]] = True
@@ -167,8 +195,7 @@ def _compare_groups(length: int):
     out = pa.schema([("m", pa.int64()), ("p", pa.int64()), ("again", _arrow_ranges()), ("earlier", _arrow_ranges())])
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        # a piece of a repeated row comes once for each of its rows
-        rows = sorted({r[:2]: r for r in rows}.values(), key=lambda r: (r[0], r[2:6]))
+        rows = sorted(rows, key=lambda r: (r[0], r[2:6]))
         (part, _), again, earlier = repeated_starts([r[6] for r in rows], length)
         edges = np.searchsorted(part, np.arange(len(rows) + 1))
         ranges = lambda mask: [
@@ -185,18 +212,21 @@ def _compare_groups(length: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        # a piece of a repeated row comes once for each of its rows and is held once
+        held: dict[tuple, tuple] = {}
+        size, last = 0, None
         for batch in slices(batches):
             cols = [batch.column(c).to_pylist() for c in ("m", "p", "place", "d1", "d2", "at", "piece")]
             for row in zip(*cols, strict=True):
-                if size > ARRAY_BYTES and row[0] != held[-1][0]:
-                    yield flush(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[6])
+                if size > ARRAY_BYTES and row[0] != last:
+                    yield flush(list(held.values()))
+                    held, size = {}, 0
+                last = row[0]
+                if row[:2] not in held:
+                    held[row[:2]] = row
+                    size += len(row[6])
         if held:
-            yield flush(held)
+            yield flush(list(held.values()))
 
     return run
 
