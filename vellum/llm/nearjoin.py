@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import cut, drop_cut, map_columns, slices
+from vellum.llm.common import cut, drop_cut, map_columns, slices, unused
 
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 PLACES = 128
@@ -490,15 +490,15 @@ def near_duplicates(
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are first of their class, all columns; one where rows repeat."""
-    firsts = near_duplicates(docs, id_col=id_col, text_col=text_col, **how).where("is_first").select(F.col("d1").alias("_f1"), F.col("d2").alias("_f2")).distinct()
+    own = unused(docs.columns, "_near_")
+    d1, d2, f1, f2 = (own + name for name in ("d1", "d2", "f1", "f2"))
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how).where("is_first")
+    firsts = found.select(F.col("d1").alias(f1), F.col("d2").alias(f2)).distinct()
     keyed = docs.withColumns(
-        {
-            "_d1": F.xxhash64(F.col(id_col), F.col(text_col)),
-            "_d2": F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col)),
-        }
+        {d1: F.xxhash64(F.col(id_col), F.col(text_col)), d2: F.xxhash64(F.lit(1), F.col(id_col), F.col(text_col))}
     )
-    kept = keyed.join(firsts, (F.col("_d1") == F.col("_f1")) & (F.col("_d2") == F.col("_f2")), "left_semi")
-    return kept.dropDuplicates(["_d1", "_d2"]).drop("_d1", "_d2")
+    kept = keyed.join(firsts, (F.col(d1) == F.col(f1)) & (F.col(d2) == F.col(f2)), "left_semi")
+    return kept.dropDuplicates([d1, d2]).drop(d1, d2)
 
 
 ORACLE = r"""
