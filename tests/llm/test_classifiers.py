@@ -252,7 +252,7 @@ def test_the_whole_pool_is_searched_for_confident_rows(spark):
     model = quality.train(content, meta, y, np.arange(200) % 5 == 1, choose, 2)
     assert len(asked) == 2 and model.given[1] > 20
     assert not {c[2] for c in asked[0][4]} & {c[2] for c in asked[1][4]}
-    again = quality.fit(docs, labels), quality.fit(docs.repartition(2), labels)
+    again = quality.fit(docs, labels), quality.fit(docs.repartition(2), labels)  # the sample leaves out held-out rows
     assert np.allclose(again[0].content.weights, again[1].content.weights)
 
 

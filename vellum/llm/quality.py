@@ -317,10 +317,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, rounds: int
     both kinds.
 
     Texts are read whole, whatever their length, by the executors. Rows whose crc32 of the id as
-    text leaves 0 modulo 5 lend no label, those that leave 1 serve calibration. Unlabelled are
-    all documents whose id no row of ``labels`` names, a null id included; rows of equal text
-    and metadata count once there. A repeated labelled id counts with the row of the smallest
-    hash.
+    text leaves 0 modulo 5 lend no label, those that leave 1 serve calibration. All documents
+    but those of the sample, whose ids are few enough to be broadcast, are unlabelled to the fit,
+    a null id included; rows of equal text and metadata count once there. A repeated labelled id
+    counts with the row of the smallest hash.
     """
     docs = docs.select("doc_id", *_COLUMNS)
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
@@ -330,7 +330,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, rounds: int
     found = sorted(described.collect(), key=lambda r: r["doc_id"])
     if len({r["_label"] for r in found}) < 2:
         return None
-    pool = docs.join(labels.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti")
+    sample = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in found], docs.select("doc_id").schema)
+    pool = docs.join(F.broadcast(sample), "doc_id", "left_anti")
     return train(
         [(list(r["shares"]), list(r["tokens"])) for r in found],
         [list(r["meta"]) for r in found],
