@@ -124,6 +124,34 @@ def test_nulls_stay(spark):
 
 
 def test_rounding_is_that_of_python(spark):
-    values = [0.25, 0.35, 0.45, 87.25, 87.35, 0.05, 12.0, 99.95]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    assert [r["r"] for r in df.select("i", T.python_round(F.col("v")).alias("r")).orderBy("i").collect()] == [round(v, 1) for v in values]
+    rng = random.Random(8)
+    values = [0.25, 0.35, 0.45, 87.25, 87.35, 0.05, 12.0, 99.95, -0.25, -0.35, 0.0, -7.0, 1e11 + 0.25, 1e300, float("inf"), 2.0**52 + 1]
+    values += [rng.uniform(-100, 100) for _ in range(500)] + [rng.randint(-4000, 4000) / 40 for _ in range(500)] + [rng.randint(0, 10**6) / 20 for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, float("nan"), None])], "i int, v double")
+    for places in (1, 2, 4):
+        got = [r["r"] for r in df.select("i", T.python_round(F.col("v"), places).alias("r")).orderBy("i").collect()]
+        assert got == [round(v, places) for v in values] + [None, None]
+
+
+def test_rounding_stays_in_the_engine(spark):
+    plan = spark.range(1).select(T.python_round(F.col("id") / 3))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "pandas" not in plan
+
+
+def test_only_unsettled_texts_reach_python(spark):
+    settled = ["plain", "été", "Привет, мир: йё", "中文字", "한국어", "ελληνικά ώ", "日本語です"]
+    unsettled = ["e\u0301", "\u1100\u1161", "\u212b", "か\u3099", "क\u093c", "\uf900"]
+    for form in ("NFC", "NFD", "NFKC", "NFKD"):
+        texts = settled + unsettled + [chr(c) for c in range(0x80, 0x3500, 7)] + [f"a{chr(c)}" for c in range(0x300, 0x3200, 5)]
+        assert apply(spark, lambda c, f=form: T.normal_form(c, f), texts) == [unicodedata.normalize(form, t) for t in texts]
+    needs = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: re.escape(chr(int(m[1], 16))), T.unsettled_characters("NFC")) + "]")
+    assert not any(needs.search(t) for t in settled[:5]) and all(needs.search(t) for t in unsettled)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert all(needs.search(c) for c in every if not unicodedata.is_normalized("NFC", c))
+
+
+def test_words_of_one_replacement_are_one_rule():
+    joined = R.joined_words(list(R.WORD_MISREADS))
+    assert len(joined) < len(set(R.WORD_MISREADS)) and sum(r.pattern.count("|") + 1 for r in joined) == len({r for r in R.WORD_MISREADS if R.whole_word(r) != r.replacement})
+    chain = [R.Rule("x", r"\ba\b", "b"), R.Rule("x", r"\bb\b", "c")]
+    assert R.joined_words(chain) == chain

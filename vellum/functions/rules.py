@@ -95,26 +95,61 @@ FOLDED = (
 )
 
 
-def _words(name: str, pairs: str) -> tuple[Rule, ...]:
-    found = (p.split(">") for p in pairs.split())
-    return tuple(Rule(name, rf"\b{a}\b", b) for a, b in found)
-
-
 # Whole words and their corrections, in order.
-WORD_MISREADS = _words(
-    "word_misreads",
-    "tbe>the Tbe>The tlie>the Tlie>The tbe>the Tbe>The wbich>which wliich>which wilich>which "
-    "tbat>that Tbat>That tbis>this Tbis>This witb>with bave>have Have>Have wben>when Wben>When "
-    "tben>then Tben>Then tbey>they Tbey>They tbeir>their Tbeir>Their otber>other Otber>Other "
-    "after>after nurnber>number mernber>member Septernber>September Novernber>November Decernber>December",
+WORD_MISREADS = (
+    Rule("word_misreads", r"\btbe\b", "the"),
+    Rule("word_misreads", r"\bTbe\b", "The"),
+    Rule("word_misreads", r"\btlie\b", "the"),
+    Rule("word_misreads", r"\bTlie\b", "The"),
+    Rule("word_misreads", r"\btbe\b", "the"),
+    Rule("word_misreads", r"\bTbe\b", "The"),
+    Rule("word_misreads", r"\bwbich\b", "which"),
+    Rule("word_misreads", r"\bwliich\b", "which"),
+    Rule("word_misreads", r"\bwilich\b", "which"),
+    Rule("word_misreads", r"\btbat\b", "that"),
+    Rule("word_misreads", r"\bTbat\b", "That"),
+    Rule("word_misreads", r"\btbis\b", "this"),
+    Rule("word_misreads", r"\bTbis\b", "This"),
+    Rule("word_misreads", r"\bwitb\b", "with"),
+    Rule("word_misreads", r"\bbave\b", "have"),
+    Rule("word_misreads", r"\bHave\b", "Have"),
+    Rule("word_misreads", r"\bwben\b", "when"),
+    Rule("word_misreads", r"\bWben\b", "When"),
+    Rule("word_misreads", r"\btben\b", "then"),
+    Rule("word_misreads", r"\bTben\b", "Then"),
+    Rule("word_misreads", r"\btbey\b", "they"),
+    Rule("word_misreads", r"\bTbey\b", "They"),
+    Rule("word_misreads", r"\btbeir\b", "their"),
+    Rule("word_misreads", r"\bTbeir\b", "Their"),
+    Rule("word_misreads", r"\botber\b", "other"),
+    Rule("word_misreads", r"\bOtber\b", "Other"),
+    Rule("word_misreads", r"\bafter\b", "after"),
+    Rule("word_misreads", r"\bnurnber\b", "number"),
+    Rule("word_misreads", r"\bmernber\b", "member"),
+    Rule("word_misreads", r"\bSepternber\b", "September"),
+    Rule("word_misreads", r"\bNovernber\b", "November"),
+    Rule("word_misreads", r"\bDecernber\b", "December"),
 )
-MODERN_WORDS = _words(
-    "m_words",
-    "govemment>government Govemment>Government managernent>management Managernent>Management "
-    "developrnent>development Developrnent>Development enviromnent>environment Enviromnent>Environment "
-    "governrnent>government Governrnent>Government",
+MODERN_WORDS = (
+    Rule("m_words", r"\bgovemment\b", "government"),
+    Rule("m_words", r"\bGovemment\b", "Government"),
+    Rule("m_words", r"\bmanagernent\b", "management"),
+    Rule("m_words", r"\bManagernent\b", "Management"),
+    Rule("m_words", r"\bdeveloprnent\b", "development"),
+    Rule("m_words", r"\bDeveloprnent\b", "Development"),
+    Rule("m_words", r"\benviromnent\b", "environment"),
+    Rule("m_words", r"\bEnviromnent\b", "Environment"),
+    Rule("m_words", r"\bgovernrnent\b", "government"),
+    Rule("m_words", r"\bGovernrnent\b", "Government"),
+)
+PAGE_WORDS = (
+    Rule("page_words", r"\bTlie\b", "The"),
+    Rule("page_words", r"\btlie\b", "the"),
+    Rule("page_words", r"\bTbe\b", "The"),
+    Rule("page_words", r"\btbe\b", "the"),
+    Rule("page_words", r"\bwbich\b", "which"),
+    Rule("page_words", r"\bwliich\b", "which"),
 )
-PAGE_WORDS = _words("page_words", "Tlie>The tlie>the Tbe>The tbe>the wbich>which wliich>which")
 
 # Rules on characters, by name.
 I_TO_L = Rule("I_to_l", r"(?<=[a-z])I(?=[a-z])", "l")
@@ -132,7 +167,11 @@ COLLAPSE_WS = Rule("collapse_ws", r"[ \t]{2,}", " ")
 DOTS = Rule("dots", r"\.{4,}", "...")
 H_PUNCT_RUN = Rule("h_punct_run", r"(?<= )[.:;,]{2,}(?= )", " ")
 H_GARBAGE = Rule("h_garbage_segment", r"(?:^|\n)[\s.,:;|!'\-]{10,}(?:\n|$)", "\n")
-H_LONG_S = tuple(Rule("h_long_s", rf"\bf\s?{x}\b", f"t{x}") for x in ("he", "hat", "his"))
+H_LONG_S = (
+    Rule("h_long_s", r"\bf\s?he\b", "the"),
+    Rule("h_long_s", r"\bf\s?hat\b", "that"),
+    Rule("h_long_s", r"\bf\s?his\b", "this"),
+)
 H_SELECT = Rule("h_select", r"\bseledl(?=ed|ion|ing)", "select")
 H_QUOTES = Rule("h_quotes", r'"{2,}', '"')
 H_DASHES = Rule("h_dashes", r"-{3,}", "--")
@@ -178,6 +217,24 @@ def whole_word(rule: Rule) -> str | None:
     return found[1] if found else None
 
 
+def joined_words(chain: list[Rule]) -> list[Rule]:
+    """Rules on whole words, with those of one replacement joined into one pattern.
+
+    A match is a whole word, and what replaces it is made of word characters, so no other word
+    of the text begins or ends elsewhere. If moreover no replacement is itself a word that a
+    rule of the chain replaces, every word meets one rule at most and their order is free; else
+    the chain stays as it is.
+    """
+    chain = [r for r in dict.fromkeys(chain) if whole_word(r) != r.replacement]
+    replaced = {whole_word(r) for r in chain}
+    if len(replaced) < len(chain) or any(r.replacement in replaced or not re.fullmatch(r"\w+", r.replacement) for r in chain):
+        return chain
+    by_result: dict[str, list[str]] = {}
+    for r in chain:
+        by_result.setdefault(r.replacement, []).append(whole_word(r))
+    return [Rule(chain[0].name, rf"\b(?:{'|'.join(w)})\b", to) for to, w in by_result.items()]
+
+
 def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """Each rule over the result of the one before; rules that cannot change anything are left out.
 
@@ -186,7 +243,5 @@ def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """
     for words, group in groupby(rules, key=lambda r: whole_word(r) is not None):
         chain = list(group)
-        if words:
-            chain = [r for r in dict.fromkeys(chain) if whole_word(r) != r.replacement]
-        col = reduce(apply_rule, chain, col)
+        col = reduce(apply_rule, joined_words(chain) if words else chain, col)
     return col

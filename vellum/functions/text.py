@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import sys
 import unicodedata
 from functools import reduce
 
@@ -48,6 +50,32 @@ def drop_garbage_runs(col: Column) -> Column:
     return F.regexp_replace(col, "[\ufffd\ufffe\uffff]{2,}", "")
 
 
+@functools.cache
+def unsettled_characters(form: str, gap: int = 96) -> str:
+    """Ranges, for a character class, that hold all characters without which a text is in a form.
+
+    Ranges less than ``gap`` apart are one, so that the class has some dozens of them.
+
+    Those that the form changes, those that it may move (combining ones), and those that may
+    join what stands before them: every character but the first of some decomposition, and the
+    Korean vowels and finals.
+    """
+    found = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for code in range(sys.maxunicode + 1):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000:
+            continue
+        if unicodedata.combining(c) or not unicodedata.is_normalized(form, c):
+            found.add(code)
+        parts = unicodedata.decomposition(c)
+        if parts and "<" not in parts:
+            found.update(int(x, 16) for x in parts.split()[1:])
+    ordered = sorted(found)
+    ends = [i for i in range(len(ordered)) if i + 1 == len(ordered) or ordered[i + 1] > ordered[i] + gap]
+    starts = [0, *(i + 1 for i in ends[:-1])]
+    return "".join(f"\\x{{{ordered[a]:x}}}-\\x{{{ordered[b]:x}}}" for a, b in zip(starts, ends))
+
+
 def normal_form(col: Column, form: str = "NFC") -> Column:
     """A Unicode normal form. Only texts that hold a character it could change reach Python."""
 
@@ -55,9 +83,7 @@ def normal_form(col: Column, form: str = "NFC") -> Column:
     def normalise(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else unicodedata.normalize(form, t))
 
-    # below U+0300 every character is its own NFC; for the other forms, below U+00A0
-    start = "\u0300" if form == "NFC" else "\u00a0"
-    needs = col.rlike(f"[{start}-\U0010ffff]")
+    needs = col.rlike(f"[{unsettled_characters(form)}]")
     return F.when(needs, normalise(F.when(needs, col))).otherwise(col)
 
 
@@ -121,13 +147,24 @@ def normalise_newlines(col: Column) -> Column:
 
 
 def python_round(col: Column, places: int = 1) -> Column:
-    """Round half to even on the exact binary value, as Python does."""
-
-    @F.pandas_udf("double")
-    def rounded(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: None if v is None or v != v else round(float(v), places))
+    """Round half to even on the exact binary value, as Python does; NaN becomes null.
 
-    return rounded(col)
+    The scaled value is the rounded product and its exact error, which falls out of splitting
+    the number into two halves of 26 bits; the error decides where the product looks like a tie.
+    """
+    scale, splitter = float(10**places), float((1 << 27) + 1)
+    v = col.cast("double")
+    high = v * splitter - (v * splitter - v)
+    low = v - high
+    product = v * scale
+    error = (high * scale - product) + low * scale
+    below = F.floor(product).cast("double")
+    past = product - below
+    even = below % 2 == 0
+    up = (past > 0.5) | ((past == 0.5) & ((error > 0) | ((error == 0) & ~even)))
+    rounded = F.when(up, below + 1).otherwise(below) / scale
+    # from here on products are no longer exact to a half; such numbers stay as they are
+    return F.when(F.isnan(v), None).when(F.abs(v) < float(1 << 52) / scale, rounded).otherwise(v)
 
 
 def text_stages(era: str = "historical", skip_regex: bool = False, text_col: str = "text"):
