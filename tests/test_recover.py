@@ -42,7 +42,7 @@ def test_last_entry_wins(spark):
 def test_rate_limit_equals_a_simulation(spark):
     arrivals = [0, 0, 1, 5, 50_000, 50_001, 50_002]
     df = spark.createDataFrame(list(enumerate(arrivals)), "i long, us long")
-    got = [r["start_us"] for r in V.rate_limit_starts(df, "us", "i", 10_000).orderBy("i").collect()]
+    got = [r["start_us"] for r in V.rate_limit_starts(df, "us", "i", 10_000, F.lit(0)).orderBy("i").collect()]
     want, free = [], 0
     for a in arrivals:
         want.append(max(a, free))

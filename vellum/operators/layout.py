@@ -169,6 +169,29 @@ def fold_blocks(gaps: Column, height: Column, min_gap: int = 25, min_block: int
     return F.when(F.size(last) == 0, F.array(F.struct(F.lit(0).alias("a"), height.cast("int").alias("b")))).otherwise(last)
 
 
+# Gaps lie below this share of a column's peak, and split from so many rows on.
+QUIET_SHARE, MIN_GAP = 0.02, 25
+
+
+def blocks_in_columns(smooth: DataFrame, keys: list[str], height: int, min_gap: int = MIN_GAP) -> DataFrame:
+    """``blocks`` of each column, from its smoothed ink by row.
+
+    A gap is a run of rows below a share of the column's peak that ends before the column does;
+    :func:`fold_blocks` decides which gaps split. A column without ink, or under 30 rows, is one
+    block.
+    """
+    peak = F.max("smooth").over(Window.partitionBy(*keys))
+    quiet = runs(smooth.withColumn("_peak", peak), keys, F.col("smooth") < F.col("_peak") * QUIET_SHARE)
+    gaps = quiet.where(F.col("run_end") < height).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("run_start").cast("int").alias("a"), F.col("run_end").cast("int").alias("b")))).alias("_gaps")
+    )
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.lit(height).alias("b")))
+    peaks = smooth.groupBy(*keys).agg(F.max("smooth").alias("_peak"))
+    found = fold_blocks(F.coalesce("_gaps", F.array().cast("array<struct<a:int,b:int>>")), F.lit(height), min_gap)
+    blank = (F.col("_peak") < 1) | F.lit(height < 30)
+    return peaks.join(gaps, keys, "left").select(*keys, F.when(blank, whole).otherwise(found).alias("blocks"))
+
+
 def wall_micros(ts: Column) -> Column:
     """Microseconds of a timestamp without zone since 1970-01-01."""
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts)

@@ -245,60 +245,97 @@ def ruled_lines(binary: np.ndarray, y: int) -> list[int]:
     return sorted(out)
 
 
-def gutters(binary: np.ndarray, y: int, spacing: float = 0.06, most_columns: int = 8, compat: bool = False) -> list[int]:
-    """Positions of white gutters; of too many the most prominent.
-
-    ``compat`` takes the prominences as those of the peaks before the ones at the edges went.
+# What makes a gutter (of the inverted, normalised profile), and how wide its smoothing is.
+GUTTER_HEIGHT, GUTTER_PROMINENCE, GUTTER_WIDTH = 0.55, 0.15, 2
+GUTTER_SPACING, GUTTER_MARGIN = 0.06, 25
+SMOOTH_LEAST, SMOOTH_PART = 15, 200
+#: Regions smaller than this on a side have neither rules nor gutters.
+LEAST_SIDE = 100
+# How columns are made of marks.
+MOST_COLUMNS, SPLIT_COLUMNS, SPLIT_SPACING, SPLIT_FACTOR = 8, 4, 0.15, 1.7
+MARK_TOLERANCE, LEAST_COLUMN, EQUAL_COLUMNS = 0.02, 0.07, 6
+COLUMN_PAD, COLUMN_PAD_PART = 8, 20
+
+
+def gutter_peaks(profile: np.ndarray, spacing: float = GUTTER_SPACING) -> list[tuple[int, float]]:
+    """(position, prominence) of the quiet places in a profile of ink by column of pixels."""
+    width = len(profile)
+    smooth = moving_mean(profile, max(SMOOTH_LEAST, width // SMOOTH_PART))
+    top = smooth.max(initial=0)
+    return [] if top < 1 else peaks(1 - smooth / top, GUTTER_HEIGHT, int(width * spacing), GUTTER_PROMINENCE, GUTTER_WIDTH)
+
+
+def most_prominent(found: list[tuple[int, float]], width: int, most: int, compat: bool = False) -> list[int]:
+    """Positions off both edges; of too many, the most prominent, from left to right.
+
+    ``compat`` reads the prominences off the list as it was before those at the edges went, so
+    that a peak may be judged by another's.
     """
+    margin = width // GUTTER_MARGIN
+    inner = [peak for peak in found if margin < peak[0] < width - margin]
+    if len(inner) <= most:
+        return [at for at, _ in inner]
+    judged = zip(inner, found if compat else inner)
+    ranked = sorted(((drop, -i, at) for i, ((at, _), (_, drop)) in enumerate(judged)), reverse=True)
+    return sorted(at for _, _, at in ranked[:most])
+
+
+def gutters(binary: np.ndarray, y: int, spacing: float = GUTTER_SPACING, most_columns: int = MOST_COLUMNS, compat: bool = False) -> list[int]:
+    """Positions of the white gutters below row y, fewer than ``most_columns``."""
     region = binary[y:]
-    h, w = region.shape
-    if h < 100 or w < 100:
+    if min(region.shape) < LEAST_SIDE:
         return []
-    smooth = moving_mean(ink(region, 0), max(15, w // 200))
-    if smooth.max() < 1:
-        return []
-    found = peaks(1 - smooth / smooth.max(), 0.55, int(w * spacing), 0.15, 2)
-    inner = [(p, drop) for p, drop in found if w // 25 < p < w - w // 25]
-    if len(inner) > most_columns - 1:
-        ranks = [d for _, d in found][: len(inner)] if compat else [d for _, d in inner]
-        best = sorted(range(len(inner)), key=lambda i: -ranks[i])[: most_columns - 1]
-        inner = [inner[i] for i in sorted(best)]
-    return [p for p, _ in inner]
+    return most_prominent(gutter_peaks(ink(region, 0), spacing), region.shape[1], most_columns - 1, compat)
 
 
-def _strips(edges: list[int], least: float) -> list[tuple[int, int]]:
-    """(x, width) between consecutive edges: thin ones dropped, the rest padded."""
-    out = []
-    for a, b in zip(edges, edges[1:]):
-        if b - a >= least:
-            pad = min(8, (b - a) // 20)
-            out.append((a + pad, b - a - 2 * pad))
+def thinned(marks: list[int], tolerance: float) -> list[int]:
+    """Marks that lie farther than the tolerance from the last one kept."""
+    kept: list[int] = []
+    for mark in sorted(set(marks)):
+        if not kept or mark - kept[-1] > tolerance:
+            kept.append(mark)
+    return kept
+
+
+def strips(edges: list[int], least: float) -> list[tuple[int, int]]:
+    """(x, width) between neighbouring edges: narrow ones go, the rest lose a pad on both sides."""
+    spans = [(a, b - a) for a, b in zip(edges, edges[1:]) if b - a >= least]
+    pads = [min(COLUMN_PAD, width // COLUMN_PAD_PART) for _, width in spans]
+    return [(a + pad, width - 2 * pad) for (a, width), pad in zip(spans, pads)]
+
+
+def split_wide(found: list[tuple[int, int]], inside) -> list[tuple[int, int]]:
+    """Each strip much wider than the middle one replaced by what ``inside`` parts it into, if
+    that parts it at all."""
+    if len(found) < 2:
+        return found
+    limit = sorted(width for _, width in found)[len(found) // 2] * SPLIT_FACTOR
+    out: list[tuple[int, int]] = []
+    for strip in found:
+        parts = inside(*strip) if strip[1] > limit else None
+        out += [strip] if parts is None else parts
     return out
 
 
-def segment_columns(binary: np.ndarray, most_columns: int = 8) -> tuple[Region, list[Region]]:
-    """The header and the columns of a page."""
+def segment_columns(binary: np.ndarray, most_columns: int = MOST_COLUMNS) -> tuple[Region, list[Region]]:
+    """The header and the columns of a page.
+
+    Inside the content box, below the header, rules and gutters mark where columns part; without
+    any mark the box is cut into equal columns.
+    """
     top, bottom, left, right = content_box(binary)
-    content = binary[top:bottom, left:right]
-    body = header_end(content)
-    wide = right - left
-    marks = sorted({left + x for x in ruled_lines(content, body)} | {left + x for x in gutters(content, body, 0.06, most_columns)})
-    cuts: list[int] = []
-    for mark in marks:
-        if not cuts or mark - cuts[-1] > wide * 0.02:
-            cuts.append(mark)
-    if not cuts:
-        cuts = [left + wide // 6 * i for i in range(1, 6)]
-    least = wide * 0.07
-    strips = _strips([left, *cuts, right], least)
-    if len(strips) >= 2:
-        middle = sorted(w for _, w in strips)[len(strips) // 2]
-        parted: list[tuple[int, int]] = []
-        for x, w in strips:
-            inside = gutters(binary[top + body : bottom, x : x + w], 0, 0.15, 4) if w > middle * 1.7 else []
-            parted += [(x + a, b) for a, b in _strips([0, *inside, w], least)] if inside else [(x, w)]
-        strips = parted
-    columns = [Region(x, w, top + body, bottom, i) for i, (x, w) in enumerate(strips)]
+    page, wide = binary[top:bottom, left:right], right - left
+    body = header_end(page)
+    least = wide * LEAST_COLUMN
+    marks = thinned(ruled_lines(page, body) + gutters(page, body, GUTTER_SPACING, most_columns), wide * MARK_TOLERANCE)
+    equal = [wide // EQUAL_COLUMNS * i for i in range(1, EQUAL_COLUMNS)]
+
+    def inside(x: int, width: int) -> list[tuple[int, int]] | None:
+        cuts = gutters(page[body:, x : x + width], 0, SPLIT_SPACING, SPLIT_COLUMNS)
+        return [(x + a, w) for a, w in strips([0, *cuts, width], least)] if cuts else None
+
+    found = split_wide(strips([0, *(marks or equal), wide], least), inside)
+    columns = [Region(left + x, w, top + body, bottom, i) for i, (x, w) in enumerate(found)]
     return Region(left, wide, top, top + body), columns
 
 

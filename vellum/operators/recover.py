@@ -37,8 +37,11 @@ def select_rows(df: DataFrame, start: int, end: int | None, idx: str = "row_idx"
 
 def last_wins(log: DataFrame, key: str, seq: str) -> DataFrame:
     """The last entry of each key; entries without a key are dropped."""
-    latest = Window.partitionBy(key).orderBy(F.col(seq).desc())
-    return log.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(latest)).where("_rn = 1").drop("_rn")
+    rest = [c for c in log.columns if c != key]
+    latest = F.max_by(F.struct(*rest), F.col(seq)).alias("_last")
+    return log.where(F.col(key).isNotNull()).groupBy(key).agg(latest).select(
+        *(F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in log.columns)
+    )
 
 
 def pending(rows: DataFrame, done: DataFrame, key: str = "row_idx") -> DataFrame:
@@ -51,12 +54,19 @@ def completed(rows: DataFrame, done: DataFrame, key: str = "row_idx") -> DataFra
     return rows.join(done.select(key).distinct(), key, "left_semi")
 
 
+def completed_texts(rows: DataFrame, done: DataFrame, key: str = "row_idx", text: str = "text") -> DataFrame:
+    """The completed rows with their corrected texts: what an unfinished run can already give."""
+    return rows.drop(text).join(done.select(key, text).dropDuplicates([key]), key)
+
+
 def merge_completed(rows: DataFrame, done: DataFrame, key: str = "row_idx", text: str = "text") -> DataFrame:
     """Every row with its corrected text, or its own where there is none yet.
 
-    A recorded null or empty text counts as recorded, so presence decides, not the value.
+    A recorded null or empty text counts as recorded, so presence decides, not the value. A row
+    that was recorded twice comes once.
     """
-    marked = done.select(key, F.col(text).alias("_done_text"), F.lit(True).alias("_done"))
+    once = done.dropDuplicates([key])
+    marked = once.select(key, F.col(text).alias("_done_text"), F.lit(True).alias("_done"))
     joined = rows.join(marked, key, "left")
     value = F.when(F.col("_done"), F.col("_done_text")).otherwise(F.col(text))
     return joined.withColumn(text, value).withColumn("completed", F.coalesce("_done", F.lit(False))).drop("_done", "_done_text")
@@ -86,12 +96,13 @@ def run_config_hash(path, era, skip_regex, skip_enrich, model, start, end, *extr
     return hashlib.sha256(key.encode()).hexdigest()[:16]
 
 
-def checkpoint_batches(df: DataFrame, every: int, order: str, group: Column | None = None) -> DataFrame:
+def checkpoint_batches(df: DataFrame, every: int, order: str, group: Column) -> DataFrame:
     """Number the batches in which rows are committed: ``every`` rows each, in order.
 
-    Batches follow the order within ``group``, the unit that one writer commits.
+    Batches follow the order within ``group``, the unit that one writer commits; one task orders
+    a group, so there is no group of all rows by default.
     """
-    by = Window.partitionBy(group if group is not None else F.lit(0)).orderBy(order)
+    by = Window.partitionBy(group).orderBy(order)
     return df.withColumn("batch", F.floor((F.row_number().over(by) - 1) / every).cast("long"))
 
 
@@ -99,19 +110,25 @@ def length_delta(before: Column, after: Column) -> Column:
     return (F.length(before) - F.length(after)).cast("long")
 
 
-def rate_limit_starts(df: DataFrame, arrival_us: str, order: str, per_minute: int, group: Column | None = None) -> DataFrame:
+def rate_limit_starts(df: DataFrame, arrival_us: str, order: str, per_minute: int, group: Column) -> DataFrame:
     """When each call may start under a minimum spacing: a running maximum over arrivals.
 
-    Calls queue within ``group`` (a worker's share of the limit).
+    Calls queue within ``group`` (a worker's share of the limit), which one task orders.
     """
     gap = 60_000_000 // per_minute
-    by = Window.partitionBy(group if group is not None else F.lit(0)).orderBy(order)
+    by = Window.partitionBy(group).orderBy(order)
     n = F.row_number().over(by) - 1
     ready = df.withColumn("_n", n).withColumn("_base", F.col(arrival_us) - F.col("_n") * gap)
     upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ready.withColumn("start_us", F.max("_base").over(upto) + F.col("_n") * gap).drop("_n", "_base")
 
 
+def is_shortened(before: Column, after: Column, least: float = 0.9) -> Column:
+    """Whether a reply keeps less than a share of the text's length; never of an empty text."""
+    size = F.length(before)
+    return F.coalesce((size > 0) & (F.length(after) / size < least), F.lit(False))
+
+
 def token_budget(text: Column) -> Column:
     """Reply tokens allowed: one and a half times the estimate, within 1024 and 16384."""
     tokens = F.ceil(F.length(text) / 4).cast("long")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.operators import chunks as C
 from vellum.operators import layout as L
+from vellum.operators import raster
 from vellum.operators import recover as V
 from vellum.operators import words as W
 from vellum.plans.registry import query
@@ -43,7 +45,7 @@ def sel_row_range(spark, sf_dir):
 @query(
     "scan_csv_range",
     """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_idx, lang AS date, sha256(text) AS text_sha256
-       FROM documents WHERE doc_id < 200 QUALIFY row_idx >= 5 AND row_idx < 150""",
+       FROM documents QUALIFY row_idx >= 5 AND row_idx < 150""",
 )
 def scan_csv_range(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -95,15 +97,19 @@ def snapshot_cadence(spark, sf_dir):
     )
 
 
-@query("state_row")
+@query(
+    "state_row",
+    """SELECT left(sha256('/in.csv|historical|False|True|none|0|None'), 16) AS config_hash, count(*) AS total_rows,
+       0::BIGINT AS row_start, NULL::BIGINT AS row_end, TRUE AS is_dated FROM documents""",
+)
 def state_row(spark, sf_dir):
     n = table(spark, sf_dir, "documents").agg(F.count("*").alias("total_rows"))
     return n.select(
-        F.lit(V.run_config_hash(sf_dir, "historical", False, True, "none", 0, None)).alias("config_hash"),
+        F.lit(V.run_config_hash("/in.csv", "historical", False, True, "none", 0, None)).alias("config_hash"),
         "total_rows",
         F.lit(0).cast("long").alias("row_start"),
         F.lit(None).cast("long").alias("row_end"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("last_updated"),
+        F.current_timestamp().isNotNull().alias("is_dated"),
     )
 
 
@@ -135,7 +141,7 @@ def semi_join_done(spark, sf_dir):
 
 @query("join_completed_only", f"SELECT d.doc_id AS row_idx, d.lang AS date, x.text FROM documents d JOIN ({_DONE_SQL}) x ON d.doc_id = x.row_idx")
 def join_completed_only(spark, sf_dir):
-    return _rows(spark, sf_dir).drop("text").join(_done(spark, sf_dir), "row_idx")
+    return V.completed_texts(_rows(spark, sf_dir), _done(spark, sf_dir))
 
 
 @query(
@@ -254,51 +260,78 @@ def chunk_roundtrip(spark, sf_dir):
     )
 
 
-_CHUNK_SQL = """
-WITH RECURSIVE parts AS (
-  SELECT doc_id, i, p[i] AS part, len(p) AS n FROM (SELECT doc_id, string_split({text}, {sep}) AS p, length({text}) AS l FROM documents),
-  LATERAL unnest(range(1, len(p) + 1)) AS u(i) WHERE {fits}
+#: Characters of the next window of a text: up to the last sentence end in its last fifth, else
+#: up to the last space there, else all of it.
+_WINDOW_SQL = """CASE WHEN length(rest) <= {limit} THEN length(rest) ELSE {head} + coalesce(
+    nullif(length(regexp_extract(substr(rest, {head} + 1, {tail}), '^(?s:.*)[.!?。！？]')), 0),
+    nullif(length(regexp_extract(substr(rest, {head} + 1, {tail}), '^(?s:.*) ')), 0), {tail}) END"""
+
+
+def _window_sql(limit: int) -> str:
+    head = limit * 4 // 5
+    return _WINDOW_SQL.format(limit=limit, head=head, tail=limit - head)
+
+
+def _chunk_sql(text: str, sep: str, cost: int, limit: int) -> str:
+    """Parts packed into chunks one after the other; parts that are too long alone as windows."""
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {text} AS t FROM documents
+), parts AS (
+  SELECT r, i, p[i] AS part, length(p[i]) + {cost} AS size FROM (SELECT r, string_split(t, {sep}) AS p FROM docs WHERE length(t) > {limit}),
+  LATERAL unnest(range(1, len(p) + 1)) AS u(i)
+), windows AS (
+  SELECT r, i, -1 AS j, '' AS chunk, part AS rest FROM parts WHERE size > {limit}
+  UNION ALL
+  SELECT r, i, j + 1, left(rest, n), substr(rest, n + 1) FROM (SELECT *, {_window_sql(limit)} AS n FROM windows WHERE rest <> '')
+), counted AS (
+  SELECT p.r, p.i, p.size, coalesce(max(j) + 1, 0) AS n FROM parts p LEFT JOIN windows w ON w.r = p.r AND w.i = p.i GROUP BY ALL
 ), walk AS (
-  SELECT doc_id, i, 1 AS pos, length(part) + {cost} AS held FROM parts WHERE i = 1
+  SELECT r, i, 0 AS pos, CASE WHEN n > 0 THEN n ELSE 0 END AS closed, CASE WHEN n > 0 THEN 0 ELSE size END AS held FROM counted WHERE i = 1
+  UNION ALL
+  SELECT r, i, done, CASE WHEN n > 0 THEN done + n ELSE done END, CASE WHEN n > 0 THEN 0 WHEN flush THEN size ELSE held + size END FROM (
+    SELECT c.r, c.i, c.n, c.size, w.held, w.held > 0 AND w.held + c.size > {limit} AS flush, w.closed + (w.held > 0 AND w.held + c.size > {limit})::INTEGER AS done
+    FROM walk w JOIN counted c ON c.r = w.r AND c.i = w.i + 1)
+), cut AS (
+  SELECT r, pos, string_agg(part, {sep} ORDER BY i) AS chunk FROM walk JOIN parts USING (r, i) WHERE size <= {limit} GROUP BY r, pos
+  UNION ALL
+  SELECT r, pos + j, chunk FROM walk JOIN windows USING (r, i) WHERE j >= 0
   UNION ALL
-  SELECT p.doc_id, p.i, CASE WHEN w.held + length(p.part) + {cost} > {limit} THEN w.pos + 1 ELSE w.pos END,
-    CASE WHEN w.held + length(p.part) + {cost} > {limit} THEN length(p.part) + {cost} ELSE w.held + length(p.part) + {cost} END
-  FROM walk w JOIN parts p ON p.doc_id = w.doc_id AND p.i = w.i + 1
+  SELECT r, 0, t FROM docs WHERE length(t) <= {limit}
 )
-SELECT doc_id, pos - 1 AS pos, sha256(string_agg(part, {sep} ORDER BY i)) AS chunk_sha256 FROM walk JOIN parts USING (doc_id, i) GROUP BY doc_id, pos
-"""
-_NO_LONG = "list_max([length(x) for x in p]) + {cost} <= {limit}"
+SELECT doc_id, pos::INTEGER AS pos, sha256(chunk) AS chunk_sha256 FROM cut JOIN docs USING (r)"""
 
 
 def _packed(spark, sf_dir, text, limit, how):
-    """Chunks of every document; the SQL leaves out those with a part beyond the limit."""
+    """Chunks of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
     return docs.select("doc_id", F.explode(C.chunk_column(F.col("text"), limit, how)).alias("c")).select(
         "doc_id", F.col("c.pos").alias("pos"), F.sha2("c.chunk", 256).alias("chunk_sha256")
     )
 
 
-@query(
-    "chunk_paragraphs",
-    _CHUNK_SQL.format(text="replace(text, chr(10), chr(10) || chr(10))", sep="chr(10) || chr(10)", cost=2, limit=1200, fits=_NO_LONG.format(cost=2, limit=1200) + " AND l > 1200")
-    + " UNION ALL SELECT doc_id, 0, sha256(replace(text, chr(10), chr(10) || chr(10))) FROM documents WHERE length(replace(text, chr(10), chr(10) || chr(10))) <= 1200"
-    " AND list_max([length(x) for x in string_split(text, chr(10))]) + 2 <= 1200",
-)
+@query("chunk_paragraphs", _chunk_sql("replace(text, chr(10), chr(10) || chr(10))", "chr(10) || chr(10)", 2, 1200))
 def chunk_paragraphs(spark, sf_dir):
     return _packed(spark, sf_dir, F.replace("text", F.lit("\n"), F.lit("\n\n")), 1200, C.chunk_text)
 
 
-@query(
-    "chunk_lines",
-    _CHUNK_SQL.format(text="text", sep="chr(10)", cost=1, limit=1200, fits=_NO_LONG.format(cost=1, limit=1200) + " AND l > 1200")
-    + " UNION ALL SELECT doc_id, 0, sha256(text) FROM documents WHERE length(text) <= 1200"
-    " AND list_max([length(x) for x in string_split(text, chr(10))]) + 1 <= 1200",
-)
+@query("chunk_lines", _chunk_sql("text", "chr(10)", 1, 1200))
 def chunk_lines(spark, sf_dir):
     return _packed(spark, sf_dir, F.col("text"), 1200, C.chunk_lines)
 
 
-@query("chunk_chars")
+@query(
+    "chunk_chars",
+    f"""WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, replace(text, chr(10), ' ') AS t FROM documents),
+windows AS (
+  SELECT r, -1 AS pos, '' AS chunk, t AS rest FROM docs WHERE length(t) > 400
+  UNION ALL
+  SELECT r, pos + 1, left(rest, n), substr(rest, n + 1) FROM (SELECT *, {_window_sql(400)} AS n FROM windows WHERE rest <> '')
+), cut AS (
+  SELECT r, pos, chunk FROM windows WHERE pos >= 0 UNION ALL SELECT r, 0, t FROM docs WHERE length(t) <= 400
+)
+SELECT doc_id, pos::INTEGER AS pos, length(chunk)::INTEGER AS n_chars, sha256(chunk) AS chunk_sha256 FROM cut JOIN docs USING (r)""",
+)
 def chunk_chars(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
     how = C.chunk_chars_rows
@@ -309,12 +342,11 @@ def chunk_chars(spark, sf_dir):
 
 @query(
     "len_ratio_guard",
-    """SELECT doc_id, length(replace(text, 'e', ''))::DOUBLE / length(text) < 0.9 AS suspicious FROM documents WHERE length(text) > 0""",
+    """SELECT doc_id, coalesce(length(text) > 0 AND length(replace(text, 'e', ''))::DOUBLE / length(text) < 0.9, FALSE) AS suspicious FROM documents""",
 )
 def len_ratio_guard(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(F.length("text") > 0)
-    ratio = F.length(F.replace("text", F.lit("e"), F.lit(""))) / F.length("text")
-    return docs.select("doc_id", (ratio < 0.9).alias("suspicious"))
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", V.is_shortened(F.col("text"), F.replace("text", F.lit("e"), F.lit("")), 0.9).alias("suspicious"))
 
 
 # --- words ----------------------------------------------------------------------------------
@@ -453,12 +485,19 @@ def sink_txt_render(spark, sf_dir):
     return _page_columns(spark, sf_dir).select("conv_id", F.sha2(text, 256).alias("text_sha256"))
 
 
-@query("sink_json_nested")
+@query(
+    "sink_json_nested",
+    """SELECT conv_id, 'doc' || (conv_id % 5) AS source_pdf, turn::INTEGER AS column_index, (length(text) % 100) || '.0' AS confidence,
+       sha256(text) AS text_sha256 FROM conversations""",
+)
 def sink_json_nested(spark, sf_dir):
     pages = _page_columns(spark, sf_dir)
     path = files.scratch(spark, "sink_json")
     files.save_json(pages.withColumn("source_pdf", F.concat(F.lit("doc"), F.col("conv_id") % 5)), path, "source_pdf")
-    return spark.read.schema(pages.schema.add("source_pdf", "string")).json(path)
+    read = spark.read.schema(pages.schema.add("source_pdf", "string")).json(path)
+    return read.select("conv_id", "source_pdf", F.explode("columns").alias("c")).select(
+        "conv_id", "source_pdf", F.col("c.index").alias("column_index"), "c.confidence", F.sha2("c.full_text", 256).alias("text_sha256")
+    )
 
 
 # --- layout ---------------------------------------------------------------------------------
@@ -473,15 +512,15 @@ def render_scale(spark, sf_dir):
 
 @query(
     "sauvola_1d",
-    """SELECT event_id, value > m * (1 + 0.2 * (s / 127.5 - 1)) AS paper FROM (SELECT event_id, value,
+    """SELECT event_id, round(value - m * (1 + 0.2 * (s / 127.5 - 1)), 6) > 0 AS paper FROM (SELECT event_id, value,
        avg(value) OVER w AS m, stddev_pop(value) OVER w AS s FROM (SELECT event_id, user_id, round(value)::DOUBLE AS value FROM events)
-       WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING)) WHERE abs(value - m * (1 + 0.2 * (s / 127.5 - 1))) > 1e-6""",
+       WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 25 PRECEDING AND 25 FOLLOWING))""",
 )
 def sauvola_1d(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-25, 25)
     events = table(spark, sf_dir, "events").select("event_id", "user_id", F.round("value").alias("value"))
-    limit = L.sauvola_threshold(F.avg("value").over(w), F.stddev_pop("value").over(w))
-    return events.select("event_id", "value", limit.alias("t")).where("abs(value - t) > 1e-6").select("event_id", (F.col("value") > F.col("t")).alias("paper"))
+    above = F.col("value") - L.sauvola_threshold(F.avg("value").over(w), F.stddev_pop("value").over(w))
+    return events.select("event_id", (F.round(above, 6) > 0).alias("paper"))
 
 
 @query(
@@ -548,15 +587,15 @@ def box_filter_reflect(spark, sf_dir):
 @query(
     "header_gap_run",
     _BOX_SQL + f""", top AS (SELECT page, pos, total / 20 AS v FROM smooth WHERE pos < {_HEIGHT // 4}),
-quiet AS (SELECT page, pos FROM top QUALIFY v < greatest(quantile_cont(v, 0.5) OVER (PARTITION BY page) * 0.9, 1.0)),
+quiet AS (SELECT page, pos FROM top QUALIFY v < greatest(quantile_cont(v, 0.5) OVER (PARTITION BY page) * 0.08, 1.0)),
 runs AS (SELECT page, min(pos) AS a, max(pos) + 1 AS b, count(*) AS n FROM
   (SELECT *, pos - row_number() OVER (PARTITION BY page ORDER BY pos) AS g FROM quiet) GROUP BY page, g),
-best AS (SELECT page, b FROM runs WHERE b > {_HEIGHT // 20} AND n >= 4 QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, a) = 1)
+best AS (SELECT page, b FROM runs WHERE b > {_HEIGHT // 20} AND n >= 10 QUALIFY row_number() OVER (PARTITION BY page ORDER BY n DESC, a) = 1)
 SELECT page, coalesce(b, {_HEIGHT // 12})::INTEGER AS header_end FROM (SELECT DISTINCT page FROM profile) LEFT JOIN best USING (page)""",
 )
 def header_gap_run(spark, sf_dir):
     smooth = L.moving_mean(_profile(spark, sf_dir), ["page"], 20)
-    return L.header_boundary(smooth, ["page"], _HEIGHT, share=0.9, least_run=4)
+    return L.header_boundary(smooth, ["page"], _HEIGHT)
 
 
 @query(
@@ -585,6 +624,43 @@ def profile_local_peaks(spark, sf_dir):
     return L.local_peaks(inverted, ["page"], 0.55, F.lit(_HEIGHT // 25), 7).select("page", "pos")
 
 
+#: Pages of one user each, on which many hours are empty.
+_THIN_SQL = _BOX_SQL.replace("user_id % 20 AS page", "user_id AS page").replace("range(a.pos - 10, a.pos + 10)", "range(a.pos - 2, a.pos + 3)")
+
+
+@query(
+    "column_blocks",
+    _THIN_SQL + f""", quiet AS (SELECT page, pos FROM smooth QUALIFY total < max(total) OVER (PARTITION BY page) * 0.02),
+gaps AS (SELECT page, min(pos) AS a, max(pos) + 1 AS b FROM (SELECT *, pos - row_number() OVER (PARTITION BY page ORDER BY pos) AS g FROM quiet) GROUP BY page, g),
+pages AS (SELECT page, max(total) / 5 AS peak FROM smooth GROUP BY page),
+lists AS (SELECT page, peak, coalesce(list([a, b] ORDER BY a) FILTER (b < {_HEIGHT}), []) AS gs FROM pages LEFT JOIN gaps USING (page) GROUP BY page, peak),
+folded AS (SELECT page, peak, list_reduce(list_prepend([0]::BIGINT[], gs::BIGINT[][]),
+  lambda s, g: CASE WHEN g[2] - g[1] >= 25 AND g[1] > s[1] + 20 THEN list_concat([g[2]], s[2:], [s[1], g[1]]) ELSE s END) AS s FROM lists),
+ended AS (SELECT page, CASE WHEN peak < 1 THEN [0, {_HEIGHT}] WHEN {_HEIGHT} > s[1] + 20 THEN list_concat(s[2:], [s[1], {_HEIGHT}])
+  WHEN len(s) = 1 THEN [0, {_HEIGHT}] ELSE s[2:] END AS f FROM folded)
+SELECT page, ((i - 1) // 2)::INTEGER AS block, f[i]::INTEGER AS y_start, f[i + 1]::INTEGER AS y_end FROM ended, LATERAL unnest(range(1, len(f), 2)) AS u(i)""",
+)
+def column_blocks(spark, sf_dir):
+    hour = F.floor((L.wall_micros(F.col("ts")) / 1_000_000 - 1704067200) / 3600).cast("int")
+    ink = table(spark, sf_dir, "events").select(F.col("user_id").alias("page"), hour.alias("y"))
+    smooth = L.moving_mean(L.ink_profile(ink, ["page"], "y", F.lit(_HEIGHT)), ["page"], 5)
+    return L.blocks_in_columns(smooth, ["page"], _HEIGHT).select("page", F.posexplode("blocks").alias("block", "b")).select(
+        "page", "block", F.col("b.a").alias("y_start"), F.col("b.b").alias("y_end")
+    )
+
+
+@query("gutter_peaks")
+def gutter_peaks(spark, sf_dir):
+    """Peaks of the inverted profile by height, distance, prominence and width, page by page."""
+
+    def found(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        profile = rows.sort_values("pos")["ink"].to_numpy()
+        at = raster.gutter_peaks(profile)
+        return pd.DataFrame({"page": [key[0]] * len(at), "pos": [p for p, _ in at], "milli_drop": [round(d * 1000) for _, d in at]})
+
+    return _profile(spark, sf_dir).groupBy("page").applyInPandas(found, "page long, pos int, milli_drop long")
+
+
 def _positions(spark, sf_dir):
     """Sorted distinct positions for each order, made of its lines."""
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
