@@ -182,6 +182,42 @@ def test_pages_end_to_end(spark):
     assert [r["page"] for r in only] == [2]
 
 
+class Torn(Book):
+    """The first page cannot be rendered; a document named by its bytes cannot be opened."""
+
+    def page_count(self, content):
+        if content == b"closed":
+            raise ValueError("no such book")
+        return 3
+
+    def render(self, content, number, scale):
+        if number == 1:
+            raise RuntimeError("page is torn")
+        return super().render(content, 1 if number == 2 else 2, scale)
+
+
+class Moody(Reader):
+    def words(self, gray, mode, dpi):
+        if mode == 4:
+            raise OSError("engine gave up")
+        return super().words(gray, mode, dpi)
+
+
+def test_what_fails_is_told_and_the_rest_kept(spark):
+    docs = spark.createDataFrame([("/in/a.pdf", bytearray(b"x")), ("/in/b.pdf", bytearray(b"closed")), ("/in/c.pdf", bytearray(b"y"))], "path string, content binary")
+    found = P.recognise(docs, lambda: (Torn(), Moody()), dpi=300).cache()
+    pages = {(r["source_pdf"], r["page"]): r for r in P.assemble(found, dpi=300).collect()}
+    assert set(pages) == {(d, n) for d in ("a.pdf", "c.pdf") for n in (2, 3)}
+    two = pages["a.pdf", 2]
+    assert two["header"]["text"] == "The Times" and two["full_text"] == "The Times" and len(two["columns"]) == 2
+    assert all(c["blocks"] == [] and c["confidence"] == 0.0 for c in two["columns"])
+    assert two["processing_time_seconds"] >= 0
+    told = {(r["source_pdf"], r["page"], r["region"], r["error"]) for r in P.failures(found).collect()}
+    assert ("a.pdf", 1, None, "RuntimeError: page is torn") in told and ("c.pdf", 1, None, "RuntimeError: page is torn") in told
+    assert ("b.pdf", None, None, "ValueError: no such book") in told
+    assert ("a.pdf", 2, 0, "OSError: engine gave up") in told and ("a.pdf", 2, 1, "OSError: engine gave up") in told
+
+
 def test_scans_are_written(spark, tmp_path):
     from vellum.plans import scan
 
@@ -194,3 +230,4 @@ def test_scans_are_written(spark, tmp_path):
     assert "===== Page 1 =====\n\n[HEADER]\nThe Times\n\n--- Column 0 (confidence: 65.0%) ---\nthe first\nsecond" in text
     assert "===== Page 2 =====\n\n--- Column 0" in text
     assert spark.read.json(str(tmp_path / "out" / "debug")).count() == 2
+    assert all("processing_time_seconds" in p for p in book["pages"]) and spark.read.schema("error string").json(str(tmp_path / "out" / "failures")).isEmpty()

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import os
 
 import pytest
@@ -106,7 +107,7 @@ def test_stream_resumes_where_it_stopped(spark, tmp_path):
     rows.where("row_idx < 10").coalesce(1).write.parquet(source)
     schema = "row_idx long, date string, text string"
     stages = pipeline.build_stages("historical")
-    sink = resume.FolderSnapshots(str(tmp_path / "snap"))
+    sink = resume.FolderSnapshots(spark, str(tmp_path / "snap"))
     resume.start(spark, source, schema, progress, checkpoint, stages, sink=sink).awaitTermination(120)
     rows.where("row_idx >= 10").coalesce(1).write.mode("append").parquet(source)
     resume.start(spark, source, schema, progress, checkpoint, stages).awaitTermination(120)
@@ -124,34 +125,87 @@ def test_late_rows_are_counted_up_to_a_bound(spark, tmp_path):
     assert spark.table("late").count() == 2
 
 
-def test_run_state(tmp_path):
-    state = resume.RunState(str(tmp_path / "run"))
+def test_run_state(spark, tmp_path):
+    state = resume.RunState(spark, str(tmp_path / "run"))
     assert not state.valid("h")
     state.save("h", 5, 0, None)
-    assert state.valid("h") and not state.valid("other") and not state.path.exists()
+    state.save("h", 6, 0, None)
+    assert state.valid("h") and json.loads((tmp_path / "run" / "state.json").read_text())["total_rows"] == 6
+    assert not state.valid("other") and not (tmp_path / "run").exists()
     state.save("h", 5, 0, None)
-    state.path.write_text("{broken")
-    assert not state.valid("h")
+    (tmp_path / "run" / "state.json").write_text("{broken")
+    (tmp_path / "run" / ".state.json.crc").unlink(missing_ok=True)
+    assert not state.valid("h") and not (tmp_path / "run").exists()
+
+
+def test_run_state_lies_where_the_path_says(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.far.link./in", f"file://{tmp_path}")
+    state = resume.RunState(spark, "viewfs://far/in/run")
+    state.save("h", 5, 0, None)
+    assert state.valid("h") and (tmp_path / "run" / "state.json").exists()
+    state.cleanup()
+    assert not (tmp_path / "run").exists()
 
 
-def test_snapshots(tmp_path):
-    sink = resume.FolderSnapshots(str(tmp_path / "s"))
+def test_snapshots(spark, tmp_path):
+    sink = resume.FolderSnapshots(spark, str(tmp_path / "s"))
     assert not sink.push(str(tmp_path / "missing"))
     (tmp_path / "o.csv").write_text("x")
     schedule = resume.SnapshotSchedule(sink, str(tmp_path / "o.csv"), hours=1)
     assert [schedule.tick(t) for t in (0, 3599, 3600, 3700, 7200)] == [False, False, True, False, True] and schedule.stop()
-    assert len(list((tmp_path / "s").iterdir())) == 3
+    assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.name[0] == "v") == ["v000000", "v000001", "v000002"]
+    assert not resume.FolderSnapshots(spark, "nowhere://x/y").push(str(tmp_path / "o.csv"))
+
+
+def csv_of(path, lines):
+    path.write_text("Date,Text\n" + "".join(f'{i},"{line}"\n' for i, line in enumerate(lines)))
+    return str(path)
 
 
 def test_pipeline_resumes_and_keeps_rows(spark, tmp_path):
-    path = tmp_path / "in.csv"
-    path.write_text("Date,Text\n" + "".join(f'{i},"tbe line {i} ,here"\n' for i in range(12)))
+    path = csv_of(tmp_path / "in.csv", [f"tbe line {i} ,here" for i in range(12)])
     work, out = str(tmp_path / "work"), str(tmp_path / "out")
-    first = pipeline.run(spark, str(path), out, work)
-    assert first.where("completed").count() == 12
-    written = files.load_csv(spark, out).orderBy("row_idx").collect()
-    assert written[3]["text"] == "the line 3, here"
-    again = pipeline.run(spark, str(path), str(tmp_path / "out2"), work)
-    assert again.count() == 12 and spark.read.parquet(f"{work}/rows").count() == 12
-    part = pipeline.run(spark, str(path), str(tmp_path / "out3"), str(tmp_path / "w3"), rows="2-5", make_enricher=lambda: str.upper)
+    first = pipeline.run(spark, path, out, work, keep_progress=True)
+    assert [r["text"] for r in first.orderBy("row_idx").collect()] == [f"the line {i}, here" for i in range(12)]
+    again = pipeline.run(spark, path, str(tmp_path / "out2"), work)
+    assert again.count() == 12 and not (tmp_path / "work").exists()
+    part = pipeline.run(spark, path, str(tmp_path / "out3"), str(tmp_path / "w3"), rows="2-5", make_enricher=lambda: str.upper)
     assert sorted(r["text"] for r in part.collect()) == [f"THE LINE {i}, HERE" for i in (2, 3, 4)]
+
+
+def test_a_broken_off_run_goes_on_and_doubles_nothing(spark, tmp_path):
+    path = csv_of(tmp_path / "in.csv", [f"line {i}" for i in range(10)])
+    work, out, sink = str(tmp_path / "work"), str(tmp_path / "out"), []
+
+    class Broken:
+        def push(self, output):
+            sink.append(sorted(r["text"] for r in files.load_csv(spark, output).collect()))
+            if len(sink) == 2:
+                raise KeyboardInterrupt
+            return True
+
+    ticks = iter(range(0, 10**6, 3600))
+    with pytest.raises(KeyboardInterrupt):
+        pipeline.run(spark, path, out, work, checkpoint=3, snapshots=Broken(), snapshot_hours=1, make_enricher=lambda: str.upper, clock=lambda: next(ticks))
+    assert [len(s) for s in sink] == [3, 6]  # the output holds what is done so far
+    rows = spark.read.parquet(f"{work}/rows")
+    assert rows.count() == 6
+    rows.write.mode("append").parquet(f"{work}/rows")  # as if a commit had been made twice
+    done = pipeline.run(spark, path, out, work, checkpoint=3, make_enricher=lambda: str.lower)
+    assert [r["text"] for r in done.orderBy("row_idx").collect()] == [f"LINE {i}" if i < 6 else f"line {i}" for i in range(10)]
+    assert not (tmp_path / "work").exists()
+
+
+def test_changed_content_or_settings_do_not_resume(spark, tmp_path):
+    work, out = str(tmp_path / "work"), str(tmp_path / "out")
+    path = csv_of(tmp_path / "in.csv", ["old", "rows"])
+    pipeline.run(spark, path, out, work, keep_progress=True)
+    csv_of(tmp_path / "in.csv", ["new", "rows"])
+    assert [r["text"] for r in pipeline.run(spark, path, out, work, keep_progress=True).orderBy("row_idx").collect()] == ["new", "rows"]
+    upper = pipeline.run(spark, path, out, work, make_enricher=lambda: str.upper)
+    assert [r["text"] for r in upper.orderBy("row_idx").collect()] == ["NEW", "ROWS"]
+
+
+def test_progress_line():
+    assert pipeline.progress_line(20, 50, 4.0, 1200, 1100) == "[20/50] 1,200 -> 1,100 (delta: +100) | 5.0 rows/s | ETA: 6s"
+    assert pipeline.batches(0, 7, 3) == [(0, 3), (3, 6), (6, 7)] and pipeline.batches(2, 9, 0) == [(2, 9)]

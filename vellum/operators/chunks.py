@@ -6,6 +6,7 @@ Every chunk carries the separator that stood before it, so an unchanged text com
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -120,25 +121,33 @@ def keep_boundary_space(chunk: str, reply: str) -> str:
     return chunk[:at] + reply.strip() + chunk[at + len(core) :]
 
 
-def map_chunks(chunks: DataFrame, make_enricher, compat: bool = False) -> DataFrame:
+def map_chunks(chunks: DataFrame, make_enricher, compat: bool = False, threads: int = 1, least_ratio: float | None = None) -> DataFrame:
     """Replace ``chunk`` by an enricher's reply, in order, partition by partition.
 
-    ``make_enricher`` is called once for each partition. A failed call keeps the chunk and fills
-    ``error``. ``compat`` strips replies without putting the surrounding white space back.
+    ``make_enricher`` is called once for each partition; ``threads`` chunks of a partition are
+    under way at a time. A failed call keeps the chunk and fills ``error``; so does, if
+    ``least_ratio`` is given, a reply of less than that share of the chunk's length. ``compat``
+    strips replies without putting the surrounding white space back.
     """
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enrich = make_enricher()
-        for pdf in batches:
-            replies, errors = [], []
-            for chunk in pdf["chunk"]:
-                try:
-                    reply = enrich(chunk)
-                    replies.append(chunk if reply is None else reply.strip() if compat else keep_boundary_space(chunk, reply))
-                    errors.append(None)
-                except Exception as e:  # the row keeps its text and the reason
-                    replies.append(chunk)
-                    errors.append(str(e))
-            yield pdf.assign(chunk=replies, error=errors)
+
+        def one(chunk: str) -> tuple[str, str | None]:
+            try:
+                reply = enrich(chunk)
+            except Exception as e:  # the row keeps its text and the reason
+                return chunk, str(e)
+            if reply is None:
+                return chunk, None
+            if least_ratio is not None and len(reply) < least_ratio * len(chunk):
+                return chunk, f"reply of {len(reply)} characters for {len(chunk)}"
+            return reply.strip() if compat else keep_boundary_space(chunk, reply), None
+
+        with ThreadPoolExecutor(max(1, threads)) as pool:
+            for pdf in batches:
+                replies = list(pool.map(one, pdf["chunk"]))
+                yield pdf.assign(chunk=[r for r, _ in replies], error=[e for _, e in replies])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
     return chunks.mapInPandas(run, f"{fields}, error string")

@@ -73,6 +73,8 @@ def enrich_texts(
     limit: int = C.MAX_CHARS,
     partitions: int | None = None,
     compat: bool = False,
+    threads: int = 1,
+    least_ratio: float | None = None,
 ) -> DataFrame:
     """Send texts through an enricher in chunks; blank texts stay as they are.
 
@@ -83,7 +85,7 @@ def enrich_texts(
     parts = C.explode_chunks(df.where(~blank).select(key, text), text, limit)
     if partitions:
         parts = parts.repartition(partitions, key, "pos")
-    replies = C.map_chunks(parts, make_enricher, compat)
+    replies = C.map_chunks(parts, make_enricher, compat, threads, least_ratio)
     errors = replies.groupBy(key).agg(F.min("error").alias("error"))
     done = C.reassemble(replies, [key], text).join(errors, key)
     seen = df.where(~blank).drop(text).join(done, key)

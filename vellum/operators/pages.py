@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -32,7 +33,8 @@ class Recogniser(Protocol):
 
 WORD_SCHEMA = (
     "source_pdf string, page int, image_width int, image_height int, region int, block int, x int, width int, "
-    "y_start int, y_end int, block_y_start int, block_y_end int, seq int, block_num int, line_num int, text string, conf int"
+    "y_start int, y_end int, block_y_start int, block_y_end int, seq int, block_num int, line_num int, text string, conf int, "
+    "seconds double, error string"
 )
 HEADER = -1
 
@@ -45,50 +47,89 @@ def recognise(docs: DataFrame, make: Callable[[], tuple[Renderer, Recogniser]],
     """A row for each recognised word of each page, and one without text for each region.
 
     ``docs`` has ``path`` and ``content``. Rendering, layout and recognition of a page happen in
-    one task; only words leave it. A page that fails is left out with its document's other pages
-    kept.
+    one task; only words leave it. The header's row has the ``seconds`` that its page took.
+
+    What fails is left out and told, the rest stays: a crop that cannot be recognised has no
+    words, a page that cannot be rendered or parted has one row without a region, a document
+    whose pages cannot be counted one without a page. Such rows hold the reason in ``error``.
     """
     wanted = parse_page_range(pages) if pages else None
+    names = [f.split()[0] for f in WORD_SCHEMA.split(", ")]
+    blank = dict.fromkeys(names)
+
+    def told(e: Exception) -> str:
+        return f"{type(e).__name__}: {e}"
 
-    def page_rows(name: str, number: int, rgb: np.ndarray, engine: Recogniser) -> Iterator[tuple]:
+    def page_rows(name: str, number: int, rgb: np.ndarray, engine: Recogniser) -> list[dict]:
         gray, binary = raster.preprocess(rgb)
         head, columns = raster.segment_columns(binary)
-        size = (name, number, rgb.shape[1], rgb.shape[0])
+        size = blank | {"source_pdf": name, "page": number, "image_width": rgb.shape[1], "image_height": rgb.shape[0]}
+        rows: list[dict] = []
 
-        def region(r: raster.Region, which: int, spans: list[tuple[int, int]], mode: int, least: int) -> Iterator[tuple]:
-            place = (r.x, r.width, r.y_start, r.y_end)
-            yield (*size, which, -1, *place, None, None, None, None, None, None, None)
+        def region(r: raster.Region, which: int, spans: list[tuple[int, int]], mode: int, least: int) -> None:
+            place = size | {"region": which, "x": r.x, "width": r.width, "y_start": r.y_start, "y_end": r.y_end}
+            rows.append(place | {"block": -1})
             for b, (a, z) in enumerate(spans):
                 crop = gray[r.y_start + a : r.y_start + z, r.x : r.x + r.width]
                 if min(crop.shape, default=0) < max(least, 10):
                     continue
-                for seq, (block, line, text, conf) in enumerate(engine.words(crop, mode, dpi)):
-                    yield (*size, which, b, *place, r.y_start + a, r.y_start + z, seq, block, line, text, int(conf))
+                block = place | {"block": b, "block_y_start": r.y_start + a, "block_y_end": r.y_start + z}
+                try:
+                    found = list(engine.words(crop, mode, dpi))
+                except Exception as e:
+                    rows.append(block | {"error": told(e)})
+                    continue
+                for seq, (group, line, text, conf) in enumerate(found):
+                    rows.append(block | {"seq": seq, "block_num": group, "line_num": line, "text": text, "conf": int(conf)})
 
-        yield from region(head, HEADER, [(0, head.y_end - head.y_start)], 11, 10)
+        region(head, HEADER, [(0, head.y_end - head.y_start)], 11, 10)
         for c in columns:
             column = binary[c.y_start : c.y_end, c.x : c.x + c.width]
-            yield from region(c, c.index, raster.segment_blocks(column), 4, 15)
+            region(c, c.index, raster.segment_blocks(column), 4, 15)
+        return rows
+
+    def of_document(path: str, content: bytes, renderer: Renderer, engine: Recogniser) -> Iterator[list[dict]]:
+        name = os.path.basename(path)
+        try:
+            count = renderer.page_count(content)
+        except Exception as e:
+            yield [blank | {"source_pdf": name, "error": told(e)}]
+            return
+        for number in range(1, count + 1):
+            if wanted and not wanted[0] <= number <= wanted[1]:
+                continue
+            began = time.monotonic()
+            try:
+                scale = scale_of(*renderer.size(content, number), dpi)
+                rows = page_rows(name, number, renderer.render(content, number, scale), engine)
+            except Exception as e:
+                yield [blank | {"source_pdf": name, "page": number, "error": told(e)}]
+                continue
+            rows[0]["seconds"] = round(time.monotonic() - began, 1)
+            yield rows
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         renderer, engine = make()
-        names = [f.split()[0] for f in WORD_SCHEMA.split(", ")]
+        whole = {n: "Int32" for n in names if n not in ("source_pdf", "text", "seconds", "error")}
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                for number in range(1, renderer.page_count(content) + 1):
-                    if wanted and not wanted[0] <= number <= wanted[1]:
-                        continue
-                    scale = scale_of(*renderer.size(content, number), dpi)
-                    rgb = renderer.render(content, number, scale)
-                    yield pd.DataFrame(list(page_rows(os.path.basename(path), number, rgb, engine)), columns=names).astype(
-                        {n: "Int32" for n in names if n not in ("source_pdf", "text")}
-                    )
+                for rows in of_document(path, content, renderer, engine):
+                    yield pd.DataFrame(rows, columns=names).astype(whole | {"seconds": "float64"})
 
     return docs.select("path", "content").mapInPandas(run, WORD_SCHEMA)
 
 
+def failures(found: DataFrame) -> DataFrame:
+    """What could not be read: document, page, region and block, as far as known, and the reason."""
+    return found.where("error is not null").select("source_pdf", "page", "region", "block", "error")
+
+
 def assemble(found: DataFrame, dpi: int = 600) -> DataFrame:
-    """Page results from the rows of :func:`recognise`: header, columns, blocks, texts, confidences."""
+    """Page results from the rows of :func:`recognise`: header, columns, blocks, texts, confidences.
+
+    A block that could not be recognised is one without words; a page that could not be read at
+    all has no result, only a row in :func:`failures`.
+    """
     page = ["source_pdf", "page"]
     lines = words.words_to_lines(found.where("text is not null"), [*page, "region", "block"])
     text = words.lines_to_text(lines, [*page, "region", "block"]).select(
@@ -100,7 +141,7 @@ def assemble(found: DataFrame, dpi: int = 600) -> DataFrame:
     )
     blocks = text.join(bounds, [*page, "region", "block"])
     regions = found.where("block = -1").select(
-        *page, "image_width", "image_height", "region", F.struct("x", "width", "y_start", "y_end").alias("bounds")
+        *page, "image_width", "image_height", "region", "seconds", F.struct("x", "width", "y_start", "y_end").alias("bounds")
     )
     kept = blocks.where((F.col("text") != "") | (F.col("region") == HEADER))
     column_blocks = kept.groupBy(*page, "region").agg(
@@ -130,11 +171,13 @@ def assemble(found: DataFrame, dpi: int = 600) -> DataFrame:
     whole = described.groupBy(*page, "image_width", "image_height").agg(
         F.first(F.when(F.col("region") == HEADER, header), ignorenulls=True).alias("header"),
         F.array_sort(F.collect_list(F.when(F.col("region") != HEADER, column))).alias("columns"),
+        F.max("seconds").alias("processing_time_seconds"),
     )
     texts = F.transform("columns", lambda c: c["full_text"])
     confidences = F.transform("columns", lambda c: c["confidence"])
     return whole.select(
         *page,
+        "processing_time_seconds",
         F.lit(dpi).alias("resolution_dpi"),
         F.struct(F.col("image_width").alias("width"), F.col("image_height").alias("height")).alias("image_size"),
         "header",

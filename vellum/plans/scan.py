@@ -35,7 +35,8 @@ def run(
     spark: SparkSession, source: str, output: str, make: Callable[[], tuple[pages.Renderer, pages.Recogniser]],
     dpi: int = 600, page_range: str | None = None, debug: bool = False,
 ) -> DataFrame:
-    """Recognise every document of a folder and write ``json``, ``text`` and, if asked for, ``debug``.
+    """Recognise every document of a folder and write ``json``, ``text``, ``failures`` (what could
+    not be read, and why) and, if asked for, ``debug``.
 
     A document is a unit of work, read and recognised in one task; only words are shuffled.
     """
@@ -43,9 +44,11 @@ def run(
     found = pages.recognise(docs, make, dpi, page_range)
     path = files.scratch(spark, "words")
     found.write.parquet(path)  # pages are recognised once, whatever is written from them
-    results = pages.assemble(spark.read.schema(found.schema).parquet(path), dpi)
+    found_again = spark.read.schema(found.schema).parquet(path)
+    results = pages.assemble(found_again, dpi)
     files.save_json(pages.documents(results), f"{output}/json", "source_pdf")
     files.save_text(rendered(results).orderBy("source_pdf", "page"), f"{output}/text", "source_pdf")
+    pages.failures(found_again).write.json(f"{output}/failures")
     if debug:
         overlays(results).write.json(f"{output}/debug")
     return results

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CSV_SCHEMA = "Date string, Text string"
+#: Files of a table up to which a row for each of them (under 1 kB) is broadcast.
+BROADCAST_FILES = 10_000
 PROGRESS_SCHEMA = "row_idx long, date string, text string"
 
 
@@ -56,7 +58,8 @@ def load_csv(spark: SparkSession, path: str) -> DataFrame:
     """Rows (row_idx, date, text) of a CSV with the columns Date and Text.
 
     Quoted fields may span lines; newlines of any kind become LF; a missing or empty text is ''.
-    The ordinal counts the records of the files in order.
+    The ordinal counts the records of the files in order. A file whose records may span lines
+    is read by one task, so a large table should come in many files.
     """
     read = (
         spark.read.schema(CSV_SCHEMA)
@@ -77,18 +80,21 @@ def load_csv(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
         .select("_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     )
+    # one short row for each file: broadcast up to a bound, else left to a join that can be split
+    if len(read.inputFiles()) <= BROADCAST_FILES:
+        of_file = F.broadcast(of_file)
     return read.join(of_file, "_file").select((F.col("_id") + F.col("_shift")).alias("row_idx"), "date", "text")
 
 
-def save_csv(rows: DataFrame, path: str, single: bool = False) -> None:
+def save_csv(rows: DataFrame, path: str, single: bool = False, replace: bool = False) -> None:
     """Write Date and Text, all fields quoted, in order of row_idx; ``single``: as one file.
 
     Rows are sorted over all files by range, so no task holds them all unless one file is asked
-    for. The folder appears whole or not at all.
+    for. The folder appears whole or not at all; with ``replace`` instead of one already there.
     """
     ordered = rows.orderBy("row_idx") if not single else rows.coalesce(1).sortWithinPartitions("row_idx")
     named = ordered.select(F.col("date").alias("Date"), F.col("text").alias("Text"))
-    named.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    named.write.mode("overwrite" if replace else "error").options(header=True, quoteAll=True, escape='"').csv(path)
 
 
 def save_csv_bytes(csv_dir: str, target: str) -> None:

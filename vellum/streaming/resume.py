@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import json
-import shutil
 from collections.abc import Callable
 from datetime import datetime, timezone
-from pathlib import Path
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vellum.sources.storage import Storage
+
 Stage = Callable[[DataFrame], DataFrame]
 
 
@@ -58,14 +58,16 @@ def late_tolerant_counts(events: DataFrame, ts: str, every: str = "12 hours", la
 
 
 class RunState:
-    """The manifest of a run: progress counts only while its settings stay the same."""
+    """The manifest of a run: progress counts only while its settings stay the same.
+
+    It lies beside the progress, on the file system that the folder's path names.
+    """
 
-    def __init__(self, folder: str):
-        self.folder = Path(folder)
-        self.path = self.folder / "state.json"
+    def __init__(self, spark: SparkSession, folder: str):
+        self.storage, self.folder = Storage(spark), folder.rstrip("/")
+        self.path = f"{self.folder}/state.json"
 
     def save(self, config_hash: str, total_rows: int, row_start: int, row_end: int | None) -> None:
-        self.folder.mkdir(parents=True, exist_ok=True)
         state = {
             "config_hash": config_hash,
             "total_rows": total_rows,
@@ -73,16 +75,13 @@ class RunState:
             "row_end": row_end,
             "last_updated": datetime.now(timezone.utc).isoformat(),
         }
-        temporary = self.path.with_suffix(".tmp")
-        temporary.write_text(json.dumps(state))
-        temporary.replace(self.path)
+        self.storage.write(self.path, json.dumps(state))
 
     def valid(self, config_hash: str) -> bool:
-        """Whether progress may be used; a corrupt or foreign state wipes it."""
-        if not self.path.exists():
-            return False
+        """Whether progress may be used; progress of other settings, or without a readable state,
+        is wiped."""
         try:
-            same = json.loads(self.path.read_text())["config_hash"] == config_hash
+            same = json.loads(self.storage.read(self.path))["config_hash"] == config_hash if self.storage.exists(self.path) else False
         except (ValueError, KeyError, TypeError):
             same = False
         if not same:
@@ -90,7 +89,7 @@ class RunState:
         return same
 
     def cleanup(self) -> None:
-        shutil.rmtree(self.folder, ignore_errors=True)
+        self.storage.delete(self.folder)
 
 
 class SnapshotSink(Protocol):
@@ -98,24 +97,21 @@ class SnapshotSink(Protocol):
 
 
 class FolderSnapshots:
-    """Versioned copies in a folder: the offline stand-in for a snapshot hub."""
+    """Versioned copies in a folder of any file system: what stands in for a snapshot hub."""
 
-    def __init__(self, target: str, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
-        self.target, self.clock, self.messages = Path(target), clock, []
+    def __init__(self, spark: SparkSession, target: str, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
+        self.storage, self.target, self.clock, self.messages = Storage(spark), target.rstrip("/"), clock, []
 
     def push(self, output: str) -> bool:
         """Copy the output; a missing output is skipped, and a failure is noted, not raised."""
-        source = Path(output)
-        if not source.exists():
-            return False
         try:
-            self.target.mkdir(parents=True, exist_ok=True)
-            name = f"v{len(list(self.target.iterdir())):06d}"
-            copy = shutil.copytree if source.is_dir() else shutil.copy2
-            copy(source, self.target / name)
+            if not self.storage.exists(output):
+                return False
+            number = len([n for n in self.storage.names(self.target) if n.startswith("v")])
+            self.storage.copy(output, f"{self.target}/v{number:06d}")
             self.messages.append(f"Snapshot {self.clock():%Y-%m-%d %H:%M} UTC")
             return True
-        except OSError as e:
+        except Exception as e:  # a snapshot must never end the run that it is taken of
             self.messages.append(f"failed: {e}")
             return False
 
