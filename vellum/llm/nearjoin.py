@@ -1,8 +1,10 @@
 """N-gram Jaccard self-join by chosen paths.
 
-A text is its set of five-word shingles. Each run of the join grows a tree of buckets: a bucket
-samples one or two places of a min-hash signature (sampled shared tokens) and splits its sets by
-what stands there, so that similar sets keep meeting. Buckets that are small are compared
+A text is its set of five-word shingles. As in the published join, sets are first embedded in
+sets of one size: 128 tokens, each the least shingle under a hash order of its own, of which two
+sets share as large a part as their similarity. Each run of the join grows a tree of buckets: a
+bucket samples one or two of these tokens and splits its sets by them, so that similar sets keep
+meeting. Buckets that are small are compared
 outright, large ones are split further, and what still does not part is compared block against
 block. As many runs are made as the target recall takes at the last depth.
 
@@ -20,7 +22,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm.common import cut, drop_cut, map_columns, slices, unused
@@ -28,10 +30,11 @@ from vellum.llm.common import cut, drop_cut, map_columns, slices, unused
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.9999
 PLACES = 128
 DEPTH, DEEPER, MAX_DEPTH = 2, 2, 6
-#: Sets that are compared outright in a bucket, and in a block of a verified cluster.
-BUCKET_ROWS, CLUSTER_ROWS = 256, 256
-#: Edges in one written file while components are sought.
-FILE_EDGES = 1 << 20
+#: Sets that are compared outright in a bucket; sets, and bytes of them, in a block of a verified
+#: cluster.
+BUCKET_ROWS, CLUSTER_ROWS, CLUSTER_BYTES = 256, 512, 4 << 20
+#: Rows of keys, and of sets, in one written file of an intermediate table, if that gives enough files.
+FILE_KEYS, FILE_SETS, LEAST_FILES = 1 << 20, 1 << 14, 32
 #: Standard deviations below the threshold at which signatures still count as alike.
 MARGIN = 5.0
 _WORD = re.compile(r"\w+")
@@ -216,13 +219,21 @@ def _alike(threshold: float):
     return _whole_groups(columns, 3, 4096, handle, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
-def _blocked(members: DataFrame, sizes: DataFrame, key: str, most: int, count: str) -> DataFrame:
-    """Deal the members of each group to pairs of blocks of about ``most`` rows: adds b1, b2.
+def _few(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """Write a table in as many files as its rows ask for, not one for each shuffle partition.
 
-    A group of up to ``most`` rows is one pair (0, 0). Each row of a larger one meets every
-    block, so a task holds two blocks at most, however large the group is.
+    Only for the light work behind an exchange: it is then done by as many tasks.
     """
-    blocks = F.ceil(F.col(count) / most).cast("int")
+    return cut(df.coalesce(max(LEAST_FILES, -(-rows // each))))
+
+
+def _blocked(members: DataFrame, sizes: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Deal the members of each group to pairs of its ``blocks``: adds b1, b2.
+
+    A group of one block is one pair (0, 0). Each row of a larger one meets every block, so a
+    task holds two blocks at most, however large the group is.
+    """
+    blocks = F.greatest(F.lit(1), blocks).cast("int")
     own = F.pmod(F.xxhash64("v", F.lit(5)), F.col("_blocks")).cast("int")
     dealt = members.join(sizes, key).withColumn("_blocks", blocks).withColumn("_own", own)
     return dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
@@ -233,16 +244,16 @@ def _blocked(members: DataFrame, sizes: DataFrame, key: str, most: int, count: s
     )
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", vertices: int = 0) -> DataFrame:
     """(v, root) for every end of an edge; the root is the smallest id of the component.
 
     Alternates two rewritings until nothing changes: every vertex hands the smallest vertex it
     knows to its larger neighbours, then to its smaller ones. Only sums come to the driver. The
-    tables of a round are written in as many files as their rows ask for, not one for each
-    shuffle partition: a round over few edges would else be spent on opening files.
+    tables of a round are written in as many files as their edges (at first, about ``vertices``)
+    ask for: a round over few edges would else be spent on opening files.
     """
-    now = cut(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("w")).where("u <> w").distinct()
+    now = _few(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("w")).where("u <> w").distinct(), vertices, FILE_KEYS
     )
     seen = None
     while True:
@@ -250,8 +261,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if state == seen or not state[0]:
             break
         seen = state
-        files = max(8, -(-state[0] // FILE_EDGES))
-        few = lambda df: cut(df.coalesce(files))  # noqa: E731, B023
+        few = lambda df, edges=state[0]: _few(df, edges, FILE_KEYS)
         both = now.unionByName(now.select(F.col("w").alias("u"), F.col("u").alias("w")))
         # minima are written first, so that the joins read plain exchanges and a hub can be split
         least = few(both.groupBy("u").agg(F.min("w").alias("m")).select("u", F.least("m", "u").alias("m")))
@@ -272,7 +282,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return roots.unionByName(roots.select(F.col("root").alias("v"), "root").distinct())
 
 
-def _candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
+def _candidate_edges(sets: DataFrame, threshold: float, recall: float, n_sets: int = 0) -> DataFrame:
     """Pairs (a, b) of set ids that met in a bucket and look alike; a forest in each
     bucket, over all its blocks."""
     # any bucket may turn out large and be split to the last depth, where fewer pairs still meet
@@ -304,12 +314,13 @@ def _candidate_edges(sets: DataFrame, threshold: float, recall: float) -> DataFr
     level = map_columns(sets, plant, {"v": "v", "sig": "sig"}, types, keep=[]).withColumnRenamed("u", "v")
     dense = sets.select("v", "size", "sig")
     edges, depth = None, DEPTH
+    paths = int(n_sets * runs / threshold**DEPTH)
     while True:
-        level = cut(level.distinct())
-        sizes = cut(level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
+        level = _few(level.distinct(), paths, FILE_KEYS)
+        sizes = _few(level.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), paths, FILE_KEYS)
         last = depth >= MAX_DEPTH
         ready = sizes if last else sizes.where(F.col("n") <= BUCKET_ROWS)
-        met = _blocked(level, ready, "path", BUCKET_ROWS, "n").join(dense, "v")
+        met = _blocked(level, ready, "path", F.ceil(F.col("n") / BUCKET_ROWS)).join(dense, "v")
         found = (
             met.withColumn("own", F.pmod(F.xxhash64("v", F.lit(5)), F.col("_blocks")).cast("int"))
             .select("path", "b1", "b2", "v", "size", "sig", "own")
@@ -431,13 +442,17 @@ def near_duplicates(
         )
     )
     place = F.struct(F.col("id").isNull().alias("none"), "id", "d1", "d2")
-    sets = cut(
+    n_rows = described.count()
+    sets = _few(
         described.groupBy("v").agg(
             F.count("*").alias("copies"), F.min(place).alias("place"), F.first("size").alias("size"), F.first("sig").alias("sig")
-        )
+        ),
+        n_rows,
+        8 * FILE_SETS,
     )
-    edges = cut(_candidate_edges(sets.where("size > 0").select("v", "size", "sig"), threshold, recall))
-    clusters = cut(connected_components(edges))
+    n_sets = sets.count()
+    edges = _few(_candidate_edges(sets.where("size > 0").select("v", "size", "sig"), threshold, recall, n_sets), n_sets, FILE_KEYS)
+    clusters = _few(connected_components(edges, vertices=n_sets), n_sets, FILE_KEYS)
     drop_cut(edges)
 
     held = sets.join(clusters, "v").select("v", "copies", "place.d1", "place.d2", F.col("root").alias("c"))
@@ -448,13 +463,16 @@ def near_duplicates(
         shingle = shingler()
         return {"shingles": [shingle(t).tobytes() for t in text]}
 
-    members = cut(
+    members = _few(
         map_columns(
             texts.select("text", "w.v", "w.copies", "w.c"), shingles, {"text": "text"}, {"shingles": "binary"}, keep=["v", "copies", "c"]
-        ).dropDuplicates(["v"])
+        ).dropDuplicates(["v"]),
+        clusters.count(),
+        FILE_SETS,
     )
-    counts = members.groupBy("c").agg(F.count("*").alias("n"))
-    blocked = _blocked(members, counts, "c", CLUSTER_ROWS, "n").withColumn(
+    counts = members.groupBy("c").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / CLUSTER_ROWS), F.ceil(F.col("bytes") / CLUSTER_BYTES))
+    blocked = _blocked(members, counts, "c", blocks).withColumn(
         "own", F.pmod(F.xxhash64("v", F.lit(5)), F.col("_blocks")).cast("int")
     )
     judged = cut(
@@ -466,13 +484,16 @@ def near_duplicates(
     )
     drop_cut(members, clusters)
     links = judged.groupBy("v").agg(F.sum("links").alias("links"))
-    wide = connected_components(judged.where("not alone and root <> v").select(F.col("v").alias("a"), F.col("root").alias("b")))
+    apart = judged.where("not alone and root <> v").select(F.col("v").alias("a"), F.col("root").alias("b"))
+    wide = connected_components(apart, vertices=n_sets)
     roots = judged.where("alone").select("v", "root").unionByName(wide)
-    vertices = cut(
+    vertices = _few(
         sets.select("v", "copies", "place")
         .join(links, "v", "left")
         .join(roots, "v", "left")
-        .select("v", "copies", "place", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "v").alias("root"))
+        .select("v", "copies", "place", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "v").alias("root")),
+        n_sets,
+        FILE_KEYS,
     )
     drop_cut(sets, judged)
     classes = vertices.groupBy("root").agg(F.min("place").alias("first"))
