@@ -63,3 +63,9 @@ def test_shards_of_nothing(spark):
 def test_shards_string_ids(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "doc_id string, text string")
     assert sorted(r["slot"] for r in sharding.shard_documents(df, 1).collect()) == [0, 1, 2]
+
+
+def test_clashing_columns_are_not_read(spark):
+    df = spark.createDataFrame([(1, "x", "a", "b", 3), (1, "x", "a", "b", 3)], "doc_id long, text string, _part string, _at string, slot int")
+    got = sharding.shard_documents(df, 3).collect()
+    assert sorted(r["slot"] for r in got) == [0, 1] and {r["size"] for r in got} == {17}
