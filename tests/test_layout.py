@@ -1,5 +1,7 @@
 import sys
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.cloudpickle import register_pickle_by_value
@@ -182,6 +184,28 @@ def test_pages_end_to_end(spark):
     assert [r["page"] for r in only] == [2]
 
 
+def pdf(pages, packed=False, nested=False):
+    kids = " ".join(f"{i + 3} 0 R" for i in range(pages))
+    tree = f"<< /Type /Pages /Kids [{kids}] /Count {pages} >>"
+    if nested:
+        tree += f" << /Count {pages - 1} /Type /Pages /Kids [{kids}] >>"
+    leaves = "".join(f"\n{i + 3} 0 obj\n<< /Type /Page /Parent 2 0 R >>\nendobj" for i in range(pages))
+    if not packed:
+        return f"%PDF-1.4\n1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n2 0 obj\n{tree}\nendobj{leaves}\ntrailer".encode()
+    body = zlib.compress(f"2 0 {tree}".encode())
+    return b"%PDF-1.5\n9 0 obj\n<< /Type /ObjStm /Filter /FlateDecode /Length " + str(len(body)).encode() + b" >>\nstream\n" + body + b"\nendstream\nendobj"
+
+
+def test_pages_are_counted(spark):
+    assert P.count_pages(pdf(3)) == 3 and P.count_pages(pdf(12, packed=True)) == 12 and P.count_pages(pdf(5, nested=True)) == 5
+    assert P.count_pages(b"%PDF-1.4\n<< /Type /Page >> << /Type/Page/X 1 >> << /Type /PageLabel >>") == 2
+    for broken in (b"", b"plain", b"%PDF-1.4 nothing"):
+        with pytest.raises(ValueError):
+            P.count_pages(broken)
+    docs = spark.createDataFrame([("a", bytearray(pdf(4))), ("b", bytearray(b"x")), ("c", None)], "path string, content binary")
+    assert {r["path"]: r["n_pages"] for r in P.with_page_counts(docs).collect()} == {"a": 4, "b": None, "c": None}
+
+
 class Torn(Book):
     """The first page cannot be rendered; a document named by its bytes cannot be opened."""
 
