@@ -1,3 +1,4 @@
+import pathlib
 import zlib
 
 import corpus_pipeline
@@ -71,6 +72,13 @@ def test_an_empty_table_passes_all_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_only_the_last_result_is_left(spark):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "vellum"
+    before = set(shared.iterdir()) if shared.exists() else set()
+    left = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert left.count() > 0 and len(set(shared.iterdir()) - before) == 1
+
+
 def test_names_and_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "n-gram Jaccard join", "benchmark decontamination", "mixing sources to target weights", "sharding",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,9 +46,31 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._cut_path = path
+    made = _MADE.get()
+    if made is not None:
+        made.append(table)
     return table
 
 
+_MADE: ContextVar[list | None] = ContextVar("made", default=None)
+
+
+def cut_alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """Make a DataFrame, write it as :func:`cut` does, and delete every table written meanwhile.
+
+    What an operator has written for a lazy result is no longer read once the result itself is
+    written; it goes as well if the work fails.
+    """
+    token = _MADE.set([])
+    made, after = _MADE.get(), None
+    try:
+        after = cut(make())
+    finally:
+        _MADE.reset(token)
+        drop_cut(*(t for t in made if t is not after))
+    return after
+
+
 def drop_cut(*tables: DataFrame) -> None:
     """Delete written tables that nothing reads any more.
 
