@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.llm import decontam, mixing, nearjoin, quality, sharding
-from vellum.llm.common import cut, table
+from vellum.llm.common import cut_alone, drop_cut, table
 
 
 def _packed(docs: DataFrame, *read: str) -> DataFrame:
@@ -78,10 +78,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again.
+
+    What a stage has written for itself goes when its result is written, and that result when
+    the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+        docs = cut_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir))
+        if before is not None:
+            drop_cut(before)
+        before = docs
     return docs
 
 
