@@ -76,6 +76,45 @@ def test_repeated_rows_and_nothing(spark):
     assert lines.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_two_edits_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcé ") for _ in range(rng.choice([1, 2, 3, 4, 9, 14, 30]))) for _ in range(14)]
+
+    def edit(x):
+        i, k = rng.randrange(len(x) + 1), rng.random()
+        return x[:i] + rng.choice("abz") + x[i + 1 :] if k < 0.4 else x[:i] + x[i + 1 :] if k < 0.7 else x[:i] + "z" + x[i:]
+
+    rows, seen, want = [], [], {}
+    for d in range(45):
+        held = []
+        for _ in range(3):
+            x = rng.choice(base)
+            for _ in range(rng.choice([0, 1, 2, 2, 3])):
+                x = edit(x)
+            held.append(x)
+        rows.append((d, "\n".join(held)))
+        keep, near = [], 0
+        for x in held:
+            matched = [distance(x, y) for y in seen if distance(x, y) <= 2] if x.strip() else []
+            near += bool(matched) and matched[0] > 0
+            keep += [] if matched else [x]
+            seen += [x] if x.strip() else []
+        want[d] = ("\n".join(keep), near)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["deduped"], r["n_near"]) for r in lines.dedup_lines(df, 2).collect()}
+    assert got == want
+
+
 def test_clashing_columns_and_short_lines(spark):
     rows = [(1, "ab\nx", "i", "t", 1), (2, "ac\ny\nlonger\nab", "i", "t", 2), (3, "abc", "i", "t", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _text string, _hash int")
@@ -89,7 +128,7 @@ def test_clashing_columns_and_short_lines(spark):
 
 def test_other_bounds_are_refused(spark):
     with pytest.raises(ValueError):
-        lines.find_duplicate_lines(spark.createDataFrame([], "doc_id long, text string"), 2)
+        lines.find_duplicate_lines(spark.createDataFrame([], "doc_id long, text string"), 3)
 
 
 def test_no_python_in_the_plan(spark):
