@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +158,46 @@ def test_snapshots(spark, tmp_path):
     assert not resume.FolderSnapshots(spark, "nowhere://x/y").push(str(tmp_path / "o.csv"))
 
 
+class Hub:
+    def __init__(self, fails=False):
+        self.made, self.files, self.fails = [], [], fails
+
+    def create_repo(self, **how):
+        self.made.append(how)
+
+    def upload_file(self, path_or_fileobj, path_in_repo, **how):
+        if self.fails:
+            raise OSError("hub gone")
+        self.files.append((path_in_repo, path_or_fileobj, how["repo_id"], how["commit_message"]))
+
+
+def test_snapshots_on_a_hub(spark, tmp_path):
+    now = lambda: datetime(2024, 3, 1, 9, 5, tzinfo=timezone.utc)
+    hub = Hub()
+    sink = resume.HubSnapshots(spark, "me/data", "token", hub, now)
+    assert not sink.push(str(tmp_path / "missing")) and not hub.made
+    out = str(tmp_path / "out")
+    files.save_csv(spark.createDataFrame([(0, "d", "a"), (1, "d", "b")], "row_idx long, date string, text string").coalesce(1), out)
+    assert sink.push(out) and hub.made == [{"repo_id": "me/data", "repo_type": "dataset", "exist_ok": True}]
+    assert hub.files[0][0] == "out/part-00000.csv" and b'"d","a"' in b"".join(f[1] for f in hub.files)
+    assert {f[3] for f in hub.files} == {"Snapshot 2024-03-01 09:05 UTC"}
+    (tmp_path / "one.csv").write_bytes(b"x\n")
+    assert sink.push(str(tmp_path / "one.csv")) and hub.files[-1][:2] == ("one.csv", b"x\n")
+    broken = resume.HubSnapshots(spark, "me/data", "token", Hub(fails=True), now)
+    assert not broken.push(out) and broken.messages == ["failed: hub gone"]
+    with pytest.raises(ValueError):
+        resume.HubSnapshots(spark, "me/data", "")
+
+
+def test_the_command_line_chooses_snapshots(spark, tmp_path):
+    args = lambda *more: pipeline.parser().parse_args(["--input", "x.csv", *more])
+    assert pipeline.snapshots_of(spark, args(), {}) is None
+    assert isinstance(pipeline.snapshots_of(spark, args("--snapshots", str(tmp_path)), {}), resume.FolderSnapshots)
+    assert pipeline.snapshots_of(spark, args("--hub-repository", "me/data"), {}) is None
+    hub = pipeline.snapshots_of(spark, args("--hub-repository", "me/data"), {"HUGGINGFACE_TOKEN": "t"}, Hub())
+    assert isinstance(hub, resume.HubSnapshots) and hub.token == "t"
+
+
 def csv_of(path, lines):
     path.write_text("Date,Text\n" + "".join(f'{i},"{line}"\n' for i, line in enumerate(lines)))
     return str(path)

@@ -129,6 +129,8 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--workers", type=int, default=4, help="requests under way in a partition")
     out.add_argument("--partitions", type=int, help="partitions that ask at a time")
     out.add_argument("--snapshots", help="a folder for versioned copies of the output")
+    out.add_argument("--hub-repository", help="a dataset repository of the hub for snapshots, instead of a folder")
+    out.add_argument("--hub-token", help="its token; else the environment's or that of a .env file")
     out.add_argument("--snapshot-interval", type=float, default=12.0, help="hours between snapshots")
     return out
 
@@ -145,12 +147,32 @@ def enricher_of(spark: SparkSession, args: argparse.Namespace, environment, send
             log.warning("no enrichment: no prompt at %s", args.prompt)
             return None
         more["prompt"] = files.load_prompt(spark, args.prompt)
-    dotenv = client.read_dotenv(storage.read(".env")) if os.path.isfile(".env") else {}
-    settings = client.settings_or_none(args.api_key, args.endpoint, environment, dotenv, model=args.model, per_minute=args.rpm, **more)
+    settings = client.settings_or_none(args.api_key, args.endpoint, environment, _dotenv(), model=args.model, per_minute=args.rpm, **more)
     partitions = args.partitions or spark.sparkContext.defaultParallelism
     return None if settings is None else client.factory(settings, partitions, **({"send": send} if send else {}))
 
 
+def _dotenv() -> dict[str, str]:
+    from vellum.operators import client
+
+    if not os.path.isfile(".env"):
+        return {}
+    with open(".env", encoding="utf-8") as f:
+        return client.read_dotenv(f.read())
+
+
+def snapshots_of(spark: SparkSession, args: argparse.Namespace, environment, api=None) -> resume.SnapshotSink | None:
+    """The snapshots that the arguments ask for; none, with a warning, where the hub's token lacks."""
+    from vellum.operators import client
+
+    if args.hub_repository:
+        token = client.chosen(args.hub_token, client.TOKEN_VARIABLE, environment, _dotenv())
+        if token:
+            return resume.HubSnapshots(spark, args.hub_repository, token, api)
+        log.warning("no snapshots: give a token, or set %s", client.TOKEN_VARIABLE)
+    return resume.FolderSnapshots(spark, args.snapshots) if args.snapshots else None
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO)
@@ -159,7 +181,7 @@ def main(argv: list[str] | None = None) -> None:
     written = run(
         spark, args.input, args.output or f"{base}_corrected", args.work or f"{base}_progress", args.era, args.skip_regex, args.rows,
         make_enricher=enricher_of(spark, args, os.environ), fresh=args.fresh, checkpoint=args.checkpoint,
-        snapshots=resume.FolderSnapshots(spark, args.snapshots) if args.snapshots else None, snapshot_hours=args.snapshot_interval,
+        snapshots=snapshots_of(spark, args, os.environ), snapshot_hours=args.snapshot_interval,
         partitions=args.partitions, threads=args.workers, model=args.model, keep_progress=args.keep_progress,
     )
     print(f"{written.count()} rows")

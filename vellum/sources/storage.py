@@ -29,6 +29,21 @@ class Storage:
         finally:
             stream.close()
 
+    def read_bytes(self, path: str) -> bytes:
+        fs, where = self._open(path)
+        stream = fs.open(where)
+        try:
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+
+    def parts(self, path: str) -> list[str]:
+        """The data files of a written folder, in order; a file is its own only part."""
+        fs, where = self._open(path)
+        if fs.getFileStatus(where).isFile():
+            return [path]
+        return [f"{path.rstrip('/')}/{n}" for n in self.names(path) if n.startswith("part-")]
+
     def write(self, path: str, text: str) -> None:
         """Write a small file beside and move it in place, so that it is never there in part."""
         fs, where = self._open(path)

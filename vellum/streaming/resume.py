@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -116,6 +117,44 @@ class FolderSnapshots:
             return False
 
 
+class HubSnapshots:
+    """Pushes of the output to a dataset repository, whose history is the row of snapshots.
+
+    ``api`` makes repositories and takes files as the client of the public hub does; without one
+    that client is looked for when the first snapshot is due.
+    """
+
+    def __init__(self, spark: SparkSession, repository: str, token: str, api=None, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
+        if not token:
+            raise ValueError("a hub token is needed")
+        self.storage, self.repository, self.token, self.api = Storage(spark), repository, token, api
+        self.clock, self.messages = clock, []
+
+    def push(self, output: str) -> bool:
+        """Upload the data files, one at a time; a missing output is skipped, a failure noted."""
+        try:
+            if not self.storage.exists(output):
+                return False
+            if self.api is None:
+                self.api = importlib.import_module("huggingface_hub").HfApi(token=self.token)
+            self.api.create_repo(repo_id=self.repository, repo_type="dataset", exist_ok=True)
+            message = f"Snapshot {self.clock():%Y-%m-%d %H:%M} UTC"
+            name = output.rstrip("/").rsplit("/", 1)[-1]
+            for number, part in enumerate(self.storage.parts(output)):
+                self.api.upload_file(
+                    path_or_fileobj=self.storage.read_bytes(part),
+                    path_in_repo=name if part == output else f"{name}/part-{number:05d}.csv",
+                    repo_id=self.repository,
+                    repo_type="dataset",
+                    commit_message=message,
+                )
+            self.messages.append(message)
+            return True
+        except Exception as e:  # as above
+            self.messages.append(f"failed: {e}")
+            return False
+
+
 class SnapshotSchedule:
     """Pushes after each interval, and once more at the end. Time comes from outside."""
 
