@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextvars import ContextVar
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,11 +127,13 @@ def map_columns(
     ``inputs`` names the arguments of ``fn`` and the column of each; ``fn`` is called for a few
     rows at a time and gets a list for each argument (texts as UTF-8 bytes) and returns a list for each name in ``outputs``, whose types
     are given as DDL. Columns ``keep`` (all, if None) go along; those that ``outputs`` names are
-    replaced.
+    replaced. An input that is a kept column, or a field of one (``column.field``), is read from
+    there and not sent twice.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in outputs]
     own = unused(keep, "_in_")
-    read = df.select(*keep, *(F.col(c).alias(own + a) for a, c in inputs.items()))
+    sent = {a: c for a, c in inputs.items() if c not in keep and c.partition(".")[0] not in keep}
+    read = df.select(*keep, *(F.col(c).alias(own + a) for a, c in sent.items()))
     schema = T.StructType(
         [T.StructField(c, read.schema[c].dataType, True) for c in keep]
         + [T.StructField(c, T._parse_datatype_string(t), True) for c, t in outputs.items()]
@@ -141,7 +144,11 @@ def map_columns(
         for batch in slices(batches):
             args = {}
             for a in inputs:
-                column = batch.column(own + a)
+                if a in sent:
+                    column = batch.column(own + a)
+                else:
+                    name, _, field = inputs[a].partition(".")
+                    column = pc.struct_field(batch.column(name), field) if field else batch.column(name)
                 if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
                     column = column.cast(pa.large_binary())
                 args[a] = column.to_pylist()

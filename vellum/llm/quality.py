@@ -342,9 +342,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, rounds: int
     )
 
 
-def score_quality(docs: DataFrame, model: QualityModel | None, keep: list[str] | None = None, reject_above: float = REJECT_ABOVE) -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: QualityModel | None, keep: list[str] | None = None, reject_above: float = REJECT_ABOVE, row: str = ""
+) -> DataFrame:
     """Add ``quality_score`` (0 to 1, higher: better) and ``quality_keep`` to every row.
 
+    The columns text, lang, source and n_chars are read, or the fields of these names of the
+    struct column ``row``.
+
     Null text counts as empty, null or unknown metadata as a value of its own; every text is
     read whole; repeated rows score alike; columns of the same names are replaced. Without a
     model (no labels of both kinds) every score is null and every row kept.
@@ -357,4 +362,5 @@ def score_quality(docs: DataFrame, model: QualityModel | None, keep: list[str] |
         found = model.score([c for c, _ in rows], [m for _, m in rows])
         return {"quality_score": found.tolist(), "quality_keep": (1 - found <= reject_above).tolist()}
 
-    return map_columns(docs, run, {c: c for c in _COLUMNS}, {"quality_score": "double", "quality_keep": "boolean"}, keep)
+    inputs = {c: f"{row}.{c}" if row else c for c in _COLUMNS}
+    return map_columns(docs, run, inputs, {"quality_score": "double", "quality_keep": "boolean"}, keep)
