@@ -29,7 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated rows share their fate.
     """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(_packed(docs, "text", "lang", "source", "n_chars"), model)
+    scored = quality.score_quality(_packed(docs), model, keep=["_row"], row="_row")
     return scored.where("quality_keep").select("_row.*")
 
 
