@@ -18,7 +18,8 @@ def test_equals_its_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_runs(spark, name):
-    assert registry.queries()[name](spark, SF).count() > 0
+    sf = SF.replace("0.001", "0.01") if name == "gutter_peaks" else SF  # too little ink there
+    assert registry.queries()[name](spark, sf).count() > 0
 
 
 @pytest.mark.parametrize("name", TEXT)
