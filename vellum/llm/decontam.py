@@ -8,7 +8,7 @@ are then compared in full.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,14 +80,14 @@ class WuManber:
         a = self.words[ends - 2].astype(np.int64) if self.block > 1 else np.zeros_like(b)
         return _mixed(a, b, self.bits)
 
-    def search(self, words: list) -> Iterator[tuple[int, list[int]]]:
-        """(start, owners) of every occurrence, from left to right. Words are numbers of the
-        vocabulary, or None for any other word."""
+    def search(self, words: list, number: Callable) -> Iterator[tuple[int, list[int]]]:
+        """(start, owners) of every occurrence, from left to right. ``number`` gives a word's
+        number in the vocabulary, or None; it is asked only for words that the search stops at."""
         shift, jump, bits, single = self.shift, self.jump, self.bits, self.block == 1
         at, n = self.length, len(words)
         while at <= n:
-            b = words[at - 1]
-            a = 0 if single else words[at - 2]
+            b = number(words[at - 1])
+            a = 0 if single else number(words[at - 2])
             if a is None or b is None:
                 at += jump
                 continue
@@ -96,18 +96,17 @@ class WuManber:
             if skip:
                 at += skip
                 continue
-            found = self._confirm(words, at, block)
+            found = self._confirm([number(w) for w in words[at - self.length : at]], block)
             if found:
                 yield at - self.length, found
             at += 1
 
-    def _confirm(self, words: list, end: int, block: int) -> list[int]:
-        start, low, high = end - self.length, int(self.bucket[block]), int(self.bucket[block + 1])
-        first = words[start]
-        if first is None:
+    def _confirm(self, text: list, block: int) -> list[int]:
+        low, high = int(self.bucket[block]), int(self.bucket[block + 1])
+        if text[0] is None:
             return []
-        out, text = [], words[start:end]
-        for i in np.flatnonzero(self.first[low:high] == first) + low:
+        out = []
+        for i in np.flatnonzero(self.first[low:high] == text[0]) + low:
             at = int(self.starts[i])
             if self.words[at : at + self.length].tolist() == text:
                 out.append(int(self.owners[i]))
@@ -139,9 +138,8 @@ class Tables:
     def find(self, words: list[bytes]) -> tuple[set[str], list[tuple[int, int]]]:
         """(ids of the items with an occurring window, word ranges that occurrences cover)."""
         found, hit = set(), []
-        numbers = [self.vocabulary.get(w) for w in words]
         for table in self.searches:
-            for start, owners in table.search(numbers):
+            for start, owners in table.search(words, self.vocabulary.get):
                 found.update(owners)
                 hit.append((start, start + table.length))
         return {self.ids[o] for o in found if self.ids[o] is not None}, hit
