@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import math
+import re
 import sys
 import unicodedata
 from functools import reduce
@@ -15,6 +17,8 @@ from vellum.functions.rules import ERAS, FOLDED, LIGATURES, MOJIBAKE, PAGE, RN_T
 
 #: A run of white space, as Unicode has it, and the four separators U+001C to U+001F.
 SPACES = r"[\s\x1c-\x1f]+"
+#: The same characters, one by one.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _replace_all(col: Column, pairs) -> Column:
@@ -76,14 +80,31 @@ def unsettled_characters(form: str, gap: int = 96) -> str:
     return "".join(f"\\x{{{ordered[a]:x}}}-\\x{{{ordered[b]:x}}}" for a, b in zip(starts, ends))
 
 
+@functools.cache
+def unsettled_class(form: str, gap: int = 16) -> str:
+    """A character class of the JVM for :func:`unsettled_characters`, in groups of neighbouring ranges.
+
+    The JVM asks range after range; most characters lie outside all groups, or in one.
+    """
+    ranges = re.findall(r"\\x\{(\w+)\}-\\x\{(\w+)\}", unsettled_characters(form, gap))
+    size = math.isqrt(len(ranges)) + 1
+    groups = [ranges[i : i + size] for i in range(0, len(ranges), size)]
+    told = lambda a, b: f"\\x{{{a}}}-\\x{{{b}}}"
+    inner = "".join(f"[{told(g[0][0], g[-1][1])}&&[{''.join(told(*r) for r in g)}]]" for g in groups)
+    return f"[{told(ranges[0][0], ranges[-1][1])}&&[{inner}]]"
+
+
 def normal_form(col: Column, form: str = "NFC") -> Column:
-    """A Unicode normal form. Only texts that hold a character it could change reach Python."""
+    """A Unicode normal form. Only texts that hold a character it could change reach Python.
+
+    ``col`` is read in several places; where it is dear to compute, make it a column first.
+    """
 
     @F.pandas_udf("string")
     def normalise(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else unicodedata.normalize(form, t))
 
-    needs = col.rlike(f"[{unsettled_characters(form)}]")
+    needs = col.rlike(unsettled_class(form))
     return F.when(needs, normalise(F.when(needs, col))).otherwise(col)
 
 
@@ -92,16 +113,36 @@ def fold_spaces(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)[^\S\n\r\t]+", " ")
 
 
-def correct_unicode(col: Column, form: str = "NFC") -> Column:
-    """The whole Unicode stage, in its fixed order."""
+def repair_characters(col: Column) -> Column:
+    """The Unicode stage up to the normal form."""
     for step in (fix_mojibake, split_ligatures, fold_punctuation, strip_controls, drop_garbage_runs):
         col = step(col)
+    return col
+
+
+def settle_characters(col: Column, form: str = "NFC") -> Column:
+    """The Unicode stage from the normal form on."""
     return fold_spaces(normal_form(col, form))
 
 
+def correct_unicode(col: Column, form: str = "NFC") -> Column:
+    """The whole Unicode stage, in its fixed order.
+
+    On a DataFrame, :func:`in_turn` with the two halves computes the first one only once.
+    """
+    return settle_characters(repair_characters(col), form)
+
+
+def in_turn(df: DataFrame, name: str, of: str, *steps) -> DataFrame:
+    """Add column ``name``: the steps over column ``of``, each of whose results is a column before the next."""
+    for step in steps:
+        df, of = df.withColumn(name, step(F.col(of))), name
+    return df
+
+
 def strip(col: Column) -> Column:
     """Strip white space of any kind from both ends."""
-    return F.regexp_replace(col, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.trim(col, F.lit(WHITE))
 
 
 def collapse_blank(col: Column) -> Column:
@@ -116,13 +157,13 @@ def drop_garbage_lines(col: Column, least: float = 0.25, short: int | None = 5)
     """
 
     def keeps(line: Column) -> Column:
-        s = strip(line)
-        letters = F.regexp_count(s, F.lit(r"\p{L}")) / F.length(s) >= least
-        kept = (s == "") | letters
-        return kept if short is None else kept | (F.length(s) <= short)
+        s = line["s"]
+        kept = s == "" if short is None else F.length(s) <= short
+        return kept | (F.length(F.regexp_replace(s, r"\P{L}+", "")) / F.length(s) >= least)
 
-    lines = F.filter(F.split(col, "\n", -1), keeps)
-    return F.array_join(F.transform(lines, lambda line: F.when(strip(line) == "", "").otherwise(line)), "\n")
+    # inside a lambda nothing is shared, so the stripped line is made once and kept beside the line
+    lines = F.transform(F.split(col, "\n", -1), lambda line: F.struct(line.alias("line"), strip(line).alias("s")))
+    return F.array_join(F.transform(F.filter(lines, keeps), lambda x: F.when(x["s"] == "", "").otherwise(x["line"])), "\n")
 
 
 def correct_regex(col: Column, era: str = "general", fix_rn: bool = True) -> Column:
@@ -171,7 +212,7 @@ def text_stages(era: str = "historical", skip_regex: bool = False, text_col: str
     """The built-in correction stages, in order, as DataFrame transforms."""
 
     def unicode_stage(df: DataFrame) -> DataFrame:
-        return df.withColumn(text_col, correct_unicode(F.col(text_col)))
+        return in_turn(df, text_col, text_col, repair_characters, settle_characters)
 
     def regex_stage(df: DataFrame) -> DataFrame:
         return df.withColumn(text_col, correct_regex(F.col(text_col), era))

@@ -136,12 +136,16 @@ HISTORIC_TAIL = " fhe f hat fhis seledled seledling \"\"quoted\"\" --- ----- ..
 
 
 def text_query(name: str, noised: str, change, sql) -> None:
-    """Register a query that applies ``change`` to noised text, and the SQL that must equal it."""
+    """Register a query that applies ``change`` to noised text, and the SQL that must equal it.
+
+    A tuple of changes is applied in turn, each over a column that holds the result of the one before.
+    """
+    steps = change if isinstance(change, tuple) else (change,)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         texts = files.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
         docs = texts.select("doc_id", F.expr(noised.replace("\\", "\\\\")).alias("x"))
-        done = docs.withColumn("y", change(F.col("x")))
+        done = T.in_turn(docs, "y", "x", *steps)
         return done.select(
             "doc_id",
             F.sha2("y", 256).alias("text_sha256"),
@@ -204,7 +208,7 @@ text_query("uni_garbage_runs", noise(("e", "e
 text_query("uni_nfc", noise(("é", "é"), ("ü", "ü"), ("ñ", "ñ")), T.normal_form, lambda x: f"nfc_normalize({x})")
 text_query("uni_ws_fold", noise((" ", "  "), (".", ".  "), tail="\t 　x"), T.fold_spaces, sql_spaces)
 STAGE_NOISE = noise(*MOJIBAKE_PAIRS[:4], ("fi", "ﬁ"), (", ", " — "), ("è", "è"), ("s ", "s​  "), tail=UNI_TAIL)
-text_query("stage_unicode", STAGE_NOISE, T.correct_unicode, sql_unicode)
+text_query("stage_unicode", STAGE_NOISE, (T.repair_characters, T.settle_characters), sql_unicode)
 
 # --- era rules ------------------------------------------------------------------------------
 _rule("rx_I_to_l", noise(("ll", "lI"), ("l", "I")), R.I_TO_L)
