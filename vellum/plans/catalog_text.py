@@ -267,7 +267,7 @@ for _era in ("historical", "modern"):
     text_query(
         f"pipeline_skip_gpt_{_era}",
         RX_NOISE,
-        lambda c, e=_era: T.correct_regex(T.correct_unicode(c), e),
+        (T.repair_characters, lambda c, e=_era: T.correct_regex(T.settle_characters(c), e)),
         lambda x, e=_era: sql_regex(sql_unicode(x), e),
     )
 SLICE = (*R.WORD_MISREADS, R.SPACE_BEFORE, R.SPACE_AFTER, R.DEHYPHENATE, R.COLLAPSE_WS)
