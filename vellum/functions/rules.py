@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from functools import reduce
 from itertools import groupby
@@ -196,9 +197,22 @@ PAGE = (
 ERAS = {"general": GENERAL, "historical": GENERAL + HISTORICAL, "modern": GENERAL + MODERN}
 
 
+def literal_first(pattern: str) -> str:
+    """The same pattern with its leading look-behind or word boundary told after the letters it leads to.
+
+    An engine tries a pattern at every character. To compare one letter costs little there, to look
+    behind or to ask for a word boundary much.
+    """
+    found = re.fullmatch(r"(\(\?<=(\[[^\]]*\]|\\[sd])\)|(\\b))((?:\w|\\\|)+)((?![?*+{]).*)", pattern, re.DOTALL)
+    if not found:
+        return pattern
+    before, letters, rest = found[2] or found[3], found[4], found[5]
+    return f"{letters}(?<={before}{letters}){rest}"
+
+
 def java_pattern(pattern: str) -> str:
     """The pattern for the JVM: Unicode classes, and an end anchor that allows one last newline."""
-    pattern = re.sub(r"\$\)$", r"(?=\\n?\\z))", pattern)
+    pattern = literal_first(re.sub(r"\$\)$", r"(?=\\n?\\z))", pattern))
     return "(?U)" + pattern if re.search(r"\\[sdwb]", pattern) else pattern
 
 
@@ -235,6 +249,36 @@ def joined_words(chain: list[Rule]) -> list[Rule]:
     return [Rule(chain[0].name, rf"\b(?:{'|'.join(w)})\b", to) for to, w in by_result.items()]
 
 
+def shared_changes(chain: list[Rule]) -> list[Rule]:
+    """Word rules whose order is free, with those that change the same letters joined into one pattern.
+
+    "tbe" and "wbich" both turn a "b" into an "h": the letters before and behind it are looked at
+    only where there is a "b", and one pass does for all such words. A chain whose order matters
+    (see :func:`joined_words`) and a word that only gains letters stay as they are.
+    """
+    joined = joined_words(chain)
+    by_change: dict[tuple[str, str], dict[str, list[str]]] = {}
+    for r in joined:
+        words = re.fullmatch(r"\\b\(\?:((?:\w|\|)+)\)\\b", r.pattern)
+        if words is None:
+            return joined
+        for word in words[1].split("|"):
+            head = os.path.commonprefix([word, r.replacement])
+            tail = os.path.commonprefix([word[len(head) :][::-1], r.replacement[len(head) :][::-1]])[::-1]
+            old, new = (x[len(head) : len(x) - len(tail)] for x in (word, r.replacement))
+            if not old:
+                return joined
+            by_change.setdefault((old, new), {}).setdefault(head, []).append(tail)
+    return [
+        Rule(
+            chain[0].name,
+            old + "(?:" + "|".join(rf"(?<=\b{head}{old})(?=(?:{'|'.join(tails)})\b)" for head, tails in heads.items()) + ")",
+            new,
+        )
+        for (old, new), heads in by_change.items()
+    ]
+
+
 def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """Each rule over the result of the one before; rules that cannot change anything are left out.
 
@@ -243,5 +287,5 @@ def apply_rules(col: Column, rules: tuple[Rule, ...]) -> Column:
     """
     for words, group in groupby(rules, key=lambda r: whole_word(r) is not None):
         chain = list(group)
-        col = reduce(apply_rule, joined_words(chain) if words else chain, col)
+        col = reduce(apply_rule, shared_changes(chain) if words else chain, col)
     return col
