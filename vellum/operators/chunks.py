@@ -8,14 +8,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_CHARS = 12_000
 # What ends a sentence.
 SENTENCE_ENDS = ".!?。！？"
-CHUNKS = "array<struct<pos:int,sep_before:string,chunk:string>>"
+#: Bytes of text that are turned into Python objects at once, and what a row counts besides its text.
+SLICE_BYTES, ROW_BYTES = 4 << 20, 64
 
 
 def chunk_chars(text: str, limit: int = MAX_CHARS) -> list[str]:
@@ -85,26 +87,45 @@ def shifted_separators(chunks: list[tuple[str, str]], oversized_after: list[int]
     return out[: max(0, len(chunks) - 1)]
 
 
-def chunk_column(col: Column, limit: int = MAX_CHARS, how=chunk_text) -> Column:
-    @F.pandas_udf(CHUNKS)
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: None
-            if t is None
-            else [{"pos": i, "sep_before": s, "chunk": c} for i, (s, c) in enumerate(how(t, limit))]
-        )
+def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of so many bytes of a text column (a longer text is a part of its own)."""
+    start = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column(text)).to_pylist()):
+        cost = (n or 0) + ROW_BYTES
+        if held and held + cost > size:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += cost
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
-    # a short text is its own only chunk and stays out of Python
-    single = F.array(F.struct(F.lit(0).alias("pos"), F.lit("").alias("sep_before"), col.alias("chunk")))
-    long = F.length(col) > limit
-    return F.when(long, cut(F.when(long, col))).when(col.isNotNull(), single)
 
+def explode_chunks(df: DataFrame, text: str = "text", limit: int = MAX_CHARS, how=chunk_text) -> DataFrame:
+    """A row for each chunk, with ``pos``, ``sep_before`` and ``chunk`` in place of the text; null has none.
 
-def explode_chunks(df: DataFrame, text: str = "text", limit: int = MAX_CHARS) -> DataFrame:
-    chunked = df.withColumn("_chunks", chunk_column(F.col(text), limit)).drop(text)
-    return chunked.withColumn("_c", F.explode("_chunks")).select(
-        *(c for c in df.columns if c != text), "_c.pos", "_c.sep_before", "_c.chunk"
-    )
+    A text is cut once, and little of a batch is held as Python objects at a time.
+    """
+    keep = [c for c in df.columns if c != text]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                rows, pos, seps, cut = [], [], [], []
+                for row, t in enumerate(part.column(text).to_pylist()):
+                    if t is None:
+                        continue
+                    for i, (sep, chunk) in enumerate([("", t)] if len(t) <= limit else how(t, limit)):
+                        rows.append(row)
+                        pos.append(i)
+                        seps.append(sep)
+                        cut.append(chunk)
+                kind, at = part.schema.field(text).type, pa.array(rows, pa.int64())
+                columns = [part.column(c).take(at) for c in keep]
+                columns += [pa.array(pos, pa.int32()), pa.array(seps, kind), pa.array(cut, kind)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, "pos", "sep_before", "chunk"])
+
+    return df.select(*keep, text).mapInArrow(run, ", ".join([*fields, "pos int", "sep_before string", "chunk string"]))
 
 
 def reassemble(chunks: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -130,7 +151,9 @@ def map_chunks(chunks: DataFrame, make_enricher, compat: bool = False, threads:
     strips replies without putting the surrounding white space back.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = chunks.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enrich = make_enricher()
 
         def one(chunk: str) -> tuple[str, str | None]:
@@ -145,9 +168,12 @@ def map_chunks(chunks: DataFrame, make_enricher, compat: bool = False, threads:
             return reply.strip() if compat else keep_boundary_space(chunk, reply), None
 
         with ThreadPoolExecutor(max(1, threads)) as pool:
-            for pdf in batches:
-                replies = list(pool.map(one, pdf["chunk"]))
-                yield pdf.assign(chunk=[r for r, _ in replies], error=[e for _, e in replies])
+            for batch in batches:
+                for part in slices(batch, "chunk"):
+                    replies, kind = list(pool.map(one, part.column("chunk").to_pylist())), part.schema.field("chunk").type
+                    columns = [pa.array([r for r, _ in replies], kind) if c == "chunk" else part.column(c) for c in names]
+                    columns.append(pa.array([e for _, e in replies], kind))
+                    yield pa.RecordBatch.from_arrays(columns, names=[*names, "error"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
-    return chunks.mapInPandas(run, f"{fields}, error string")
+    return chunks.mapInArrow(run, f"{fields}, error string")
