@@ -305,9 +305,7 @@ SELECT doc_id, pos::INTEGER AS pos, sha256(chunk) AS chunk_sha256 FROM cut JOIN
 def _packed(spark, sf_dir, text, limit, how):
     """Chunks of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
-    return docs.select("doc_id", F.explode(C.chunk_column(F.col("text"), limit, how)).alias("c")).select(
-        "doc_id", F.col("c.pos").alias("pos"), F.sha2("c.chunk", 256).alias("chunk_sha256")
-    )
+    return C.explode_chunks(docs, limit=limit, how=how).select("doc_id", "pos", F.sha2("chunk", 256).alias("chunk_sha256"))
 
 
 @query("chunk_paragraphs", _chunk_sql("replace(text, chr(10), chr(10) || chr(10))", "chr(10) || chr(10)", 2, 1200))
@@ -334,9 +332,8 @@ SELECT doc_id, pos::INTEGER AS pos, length(chunk)::INTEGER AS n_chars, sha256(ch
 )
 def chunk_chars(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
-    how = C.chunk_chars_rows
-    return docs.select("doc_id", F.explode(C.chunk_column(F.col("text"), 400, how)).alias("c")).select(
-        "doc_id", "c.pos", F.length("c.chunk").alias("n_chars"), F.sha2("c.chunk", 256).alias("chunk_sha256")
+    return C.explode_chunks(docs, limit=400, how=C.chunk_chars_rows).select(
+        "doc_id", "pos", F.length("chunk").alias("n_chars"), F.sha2("chunk", 256).alias("chunk_sha256")
     )
 
 
