@@ -348,9 +348,9 @@ def len_ratio_guard(spark, sf_dir):
 
 # --- words ----------------------------------------------------------------------------------
 
-def _words(spark, sf_dir):
+def _words(texts):
     """Recognised words made of documents: lines are lines, two to a block; some without confidence."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    docs = texts.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     words = docs.select("doc_id", "line_no", F.posexplode(F.split("line", " ", -1)).alias("seq", "text"))
     return words.select(
         "doc_id",
@@ -375,7 +375,7 @@ words AS (
 
 @query("word_filter", _WORDS_SQL + "SELECT doc_id, count(*) AS n_words, sum(conf)::BIGINT AS sum_conf FROM usable GROUP BY doc_id")
 def word_filter(spark, sf_dir):
-    return W.usable_words(_words(spark, sf_dir)).groupBy("doc_id").agg(
+    return W.usable_words(_words(table(spark, sf_dir, "documents"))).groupBy("doc_id").agg(
         F.count("*").alias("n_words"), F.sum("conf").cast("long").alias("sum_conf")
     )
 
@@ -393,7 +393,9 @@ SELECT doc_id, sha256(string_agg(line, chr(10) ORDER BY block_num, line_num)) AS
 FROM lines GROUP BY doc_id""",
 )
 def words_to_lines(spark, sf_dir):
-    text = W.lines_to_text(W.words_to_lines(_words(spark, sf_dir), ["doc_id"]), ["doc_id"])
+    # a text is smaller than its words, so it is dealt to where its words are put together
+    texts = files.dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    text = W.lines_to_text(W.words_to_lines(_words(texts), ["doc_id"]), ["doc_id"])
     return text.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "word_count")
 
 
@@ -402,7 +404,7 @@ def words_to_lines(spark, sf_dir):
     _WORDS_SQL + "SELECT doc_id, block_num::INTEGER AS block_num, count(*) AS word_count, floor(sum(conf) * 1000 / count(*))::BIGINT AS milli_conf FROM usable GROUP BY doc_id, block_num",
 )
 def conf_by_group(spark, sf_dir):
-    used = W.usable_words(_words(spark, sf_dir)).groupBy("doc_id", "block_num")
+    used = W.usable_words(_words(table(spark, sf_dir, "documents"))).groupBy("doc_id", "block_num")
     return used.agg(F.count("*").alias("word_count"), F.floor(F.sum("conf") * 1000 / F.count("*")).alias("milli_conf"))
 
 

@@ -35,6 +35,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
+def dealt(df: DataFrame, *keys: str, parts: int = 8) -> DataFrame:
+    """Deal rows by keys, into so many parts for each piece of the input.
+
+    What is then made of the rows and grouped by these keys, or by more than these, is not dealt out
+    again. Parts are small, so that the sorting of a group's many small rows fits in memory.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, parts * df.rdd.getNumPartitions()), *keys)
+
+
 def with_suffix(df: DataFrame, path: Column, suffix: str) -> DataFrame:
     """Rows whose path ends in a suffix of either case, sorted by path."""
     return df.where(F.lower(path).endswith(suffix)).orderBy(path)
