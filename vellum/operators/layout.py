@@ -169,27 +169,71 @@ def fold_blocks(gaps: Column, height: Column, min_gap: int = 25, min_block: int
     return F.when(F.size(last) == 0, F.array(F.struct(F.lit(0).alias("a"), height.cast("int").alias("b")))).otherwise(last)
 
 
-# Gaps lie below this share of a column's peak, and split from so many rows on.
-QUIET_SHARE, MIN_GAP = 0.02, 25
+def smoothed_steps(ink: DataFrame, keys: list[str], pos: str, height: int, size: int) -> DataFrame:
+    """``moving_mean`` of the ink's profile, times ``size``, as steps: run_start, run_end (excluded), total.
 
+    Ink at one position adds to ``size`` totals, so they change only where its reach begins or
+    ends: the rows grow with the ink, not with the ``height``, which is ``size`` at least. Where no
+    step is, there is no ink; each key has a step, also if its ink is null or off the page.
+    """
+    left, right = size // 2, size - size // 2 - 1
+    on_page = F.when(F.col(pos).between(0, height - 1), F.col(pos)).cast("int")
+    cells = ink.groupBy(*keys, on_page.alias("_p")).agg(F.count("*").alias("_n"))
+    p, n, none = F.col("_p"), F.col("_n"), F.lit(0).cast("long")
+
+    def change(at: Column, by: Column) -> Column:
+        return F.struct(at.alias("run_start"), by.alias("_by"))
+
+    reach = [change(F.greatest(F.lit(0), p - right), n), change(F.least(p + left + 1, F.lit(height)), -n)]
+    low, high = F.when(p < left, n).otherwise(none), F.when(p >= height - right, n).otherwise(none)
+    mirrored = [
+        change(F.lit(0), low), change(F.greatest(left - p, F.lit(0)), -low),
+        change(F.least(2 * height - 1 - p - right, F.lit(height)), high),
+    ]
+    changes = (
+        F.when(p.isNull(), F.array(change(F.lit(0), none)))
+        .when((p < left) | (p >= height - right), F.array(*reach, *mirrored))
+        .otherwise(F.array(*reach))
+    )
+    by = Window.partitionBy(*keys).orderBy("run_start")
+    return (
+        cells.select(*keys, F.explode(changes).alias("_c"))
+        .select(*keys, "_c.run_start", "_c._by")
+        .withColumn("total", F.sum("_by").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("run_end", F.coalesce(F.lead("run_start").over(by), F.lit(height)))
+        .where("run_start < run_end")
+        .select(*keys, "run_start", "run_end", "total")
+    )
 
-def blocks_in_columns(smooth: DataFrame, keys: list[str], height: int, min_gap: int = MIN_GAP) -> DataFrame:
-    """``blocks`` of each column, from its smoothed ink by row.
 
-    A gap is a run of rows below a share of the column's peak that ends before the column does;
+# Gaps lie below one part in so many of a column's peak, and split from so many rows on.
+QUIET_PART, MIN_GAP = 50, 25
+
+
+def blocks_in_columns(ink: DataFrame, keys: list[str], pos: str, height: int, size: int = 5, min_gap: int = MIN_GAP) -> DataFrame:
+    """``blocks`` of each column, from its ink by row, smoothed over ``size`` rows.
+
+    A gap is a run of rows below a part of the column's peak that ends before the column does;
     :func:`fold_blocks` decides which gaps split. A column without ink, or under 30 rows, is one
     block.
     """
-    peak = F.max("smooth").over(Window.partitionBy(*keys))
-    quiet = runs(smooth.withColumn("_peak", peak), keys, F.col("smooth") < F.col("_peak") * QUIET_SHARE)
-    gaps = quiet.where(F.col("run_end") < height).groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("run_start").cast("int").alias("a"), F.col("run_end").cast("int").alias("b")))).alias("_gaps")
-    )
     whole = F.array(F.struct(F.lit(0).alias("a"), F.lit(height).alias("b")))
-    peaks = smooth.groupBy(*keys).agg(F.max("smooth").alias("_peak"))
-    found = fold_blocks(F.coalesce("_gaps", F.array().cast("array<struct<a:int,b:int>>")), F.lit(height), min_gap)
-    blank = (F.col("_peak") < 1) | F.lit(height < 30)
-    return peaks.join(gaps, keys, "left").select(*keys, F.when(blank, whole).otherwise(found).alias("blocks"))
+    if height < 30:
+        return ink.select(*keys).distinct().withColumn("blocks", whole)
+    column = Window.partitionBy(*keys)
+    before = column.orderBy("run_start").rowsBetween(Window.unboundedPreceding, -1)
+    loud = F.col("total") * QUIET_PART >= F.col("_peak")
+    # a gap lies between two loud steps, or before the first; shorter ones never split
+    gap = F.when(loud & (F.col("run_start") - F.col("_a") >= min_gap), F.struct(F.col("_a").alias("a"), F.col("run_start").alias("b")))
+    gaps = (
+        smoothed_steps(ink, keys, pos, height, size)
+        .withColumn("_peak", F.max("total").over(column))
+        .withColumn("_a", F.coalesce(F.max(F.when(loud, F.col("run_end"))).over(before), F.lit(0)))
+        .groupBy(*keys)
+        .agg(F.max("total").alias("_peak"), F.array_sort(F.collect_list(gap)).alias("_gaps"))
+    )
+    found = fold_blocks(F.col("_gaps"), F.lit(height), min_gap)
+    return gaps.select(*keys, F.when(F.col("_peak") < size, whole).otherwise(found).alias("blocks"))
 
 
 def wall_micros(ts: Column) -> Column:

@@ -536,6 +536,12 @@ def skew_argmax(spark, sf_dir):
     return scored.withColumn("rn", F.row_number().over(best)).where("rn = 1").select("l_suppkey", "angle")
 
 
+def _hour():
+    """Hour of an event since 2024-01-01; both divisions cut towards zero, as in the SQL."""
+    seconds = F.call_function("div", L.wall_micros(F.col("ts")), F.lit(1_000_000)) - 1704067200
+    return F.call_function("div", seconds, F.lit(3600))
+
+
 def _ink(spark, sf_dir):
     """Ink made of events: 20 pages by user, rows by hour of the month."""
     hour = F.floor((L.wall_micros(F.col("ts")) / 1_000_000 - 1704067200) / 3600).cast("int")
@@ -640,10 +646,9 @@ ended AS (SELECT page, CASE WHEN peak < 1 THEN [0, {_HEIGHT}] WHEN {_HEIGHT} > s
 SELECT page, ((i - 1) // 2)::INTEGER AS block, f[i]::INTEGER AS y_start, f[i + 1]::INTEGER AS y_end FROM ended, LATERAL unnest(range(1, len(f), 2)) AS u(i)""",
 )
 def column_blocks(spark, sf_dir):
-    hour = F.floor((L.wall_micros(F.col("ts")) / 1_000_000 - 1704067200) / 3600).cast("int")
-    ink = table(spark, sf_dir, "events").select(F.col("user_id").alias("page"), hour.alias("y"))
-    smooth = L.moving_mean(L.ink_profile(ink, ["page"], "y", F.lit(_HEIGHT)), ["page"], 5)
-    return L.blocks_in_columns(smooth, ["page"], _HEIGHT).select("page", F.posexplode("blocks").alias("block", "b")).select(
+    # the SQL's joins drop events without a user
+    ink = table(spark, sf_dir, "events").where("user_id IS NOT NULL").select(F.col("user_id").alias("page"), _hour().alias("y"))
+    return L.blocks_in_columns(ink, ["page"], "y", _HEIGHT).select("page", F.posexplode("blocks").alias("block", "b")).select(
         "page", "block", F.col("b.a").alias("y_start"), F.col("b.b").alias("y_end")
     )
 
